@@ -149,7 +149,7 @@ def restored(df: DataFrame, text: str = "text", only_affected: bool = False, wit
     names = {f.name for f in new} | ({text} if not with_text else set())
     keep = [c for c in df.columns if c not in names]
     out = T.StructType([f for f in df.select(*(f"`{c}`" for c in keep)).schema] + new)
-    arrow = to_arrow_schema(out, timezone="UTC")
+    arrow = to_arrow_schema(out)
     src = df.select(*(f"`{c}`" for c in dict.fromkeys([*keep, text])))
     return src.mapInArrow(lambda it: _restore(it, text, keep, arrow, only_affected, with_text), out)
 

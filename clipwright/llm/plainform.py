@@ -150,7 +150,7 @@ def with_plain_form(df: DataFrame, value: str, plain: str = "plain", strange: st
     if value in (plain, strange):
         raise ValueError("the value and the new columns need different names")
     out = T.StructType([f for f in df.select(*(f"`{c}`" for c in keep)).schema] + [T.StructField(plain, T.StringType()), T.StructField(strange, T.BooleanType())])
-    arrow = to_arrow_schema(out, timezone="UTC")
+    arrow = to_arrow_schema(out)
     return df.select(*(f"`{c}`" for c in keep)).mapInArrow(lambda it: _apply(it, value, arrow, False, keep), out)
 
 
