@@ -2,17 +2,64 @@
 
 from __future__ import annotations
 
-from . import mojibake, plainform
+from . import caps, consensus, cross_split, mojibake, plainform, splits
 
 
 def queries() -> dict:
     return {
+        "p1_found": consensus.p1_found,
+        "p1_annotators": consensus.p1_annotators,
+        "p1_agreement": consensus.p1_agreement,
+        "p2_found": splits.p2_found,
+        "p2_splits": splits.p2_splits,
+        "p3_found": cross_split.p3_found,
+        "p3_report": cross_split.p3_report,
         "p4_found": plainform.p4_found,
         "p4_forms": plainform.p4_forms,
+        "p5_found": caps.p5_found,
+        "p5_nested": caps.p5_nested,
         "p10_found": mojibake.p10_found,
         "p10_restored": mojibake.p10_restored,
     }
 
 
+_KEY = "nullif(lower(trim({0}, chr(32) || chr(9) || chr(10) || chr(13) || chr(160))), '')"
+
+
+def _key(c: str, *unknown: str) -> str:
+    k = _KEY.format(c)
+    return f"CASE WHEN {k} IN ({', '.join(repr(u) for u in unknown)}) THEN NULL ELSE {k} END" if unknown else k
+
+
+_CLIPS = f"""clips AS (
+    SELECT clip_id, arg_max(ROW(speaker, channel, confidence), ROW(appended_at, speaker, channel, confidence)) AS r
+    FROM (SELECT clip_id, appended_at, {_key("speaker_id")} AS speaker, {_key("channel", "-", "bilinmiyor")} AS channel, confidence FROM word_clips WHERE clip_id IS NOT NULL)
+    GROUP BY clip_id), c AS (SELECT clip_id, r[1] AS speaker, r[2] AS channel, r[3] AS confidence FROM clips)"""
+
+P1_AGREEMENT = """
+WITH a AS (SELECT lower(trim(kind)) AS kind, clip_id, coalesce(nullif(lower(trim(annotator)), ''), '') AS annotator, replace(lower(trim(verdict)), ' ', '_') AS verdict, created_at, annotation_id
+    FROM annotations WHERE NOT coalesce(was_cancelled, false) AND trim(verdict) <> '' AND clip_id IS NOT NULL),
+l AS (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY kind, clip_id, annotator ORDER BY created_at DESC, annotation_id DESC) = 1),
+v AS (SELECT kind, clip_id, verdict, count(*) AS n FROM l WHERE verdict IN ('correct', 'wrong_word', 'offscreen', 'bad_crop') GROUP BY ALL),
+i AS (SELECT kind, clip_id, sum(n) AS m, sum(n * (n - 1)) AS same FROM v GROUP BY ALL HAVING sum(n) > 1),
+g AS (SELECT kind, sum(n) AS n, sum(n * (n - 1)) AS nn FROM (SELECT kind, verdict, sum(n) AS n FROM v SEMI JOIN i USING (kind, clip_id) GROUP BY ALL) GROUP BY kind),
+o AS (SELECT kind, count(*) AS n_items, sum(same / (m - 1)) AS o FROM i GROUP BY kind)
+SELECT kind, n_items, n AS n_answers, round(o / n, 6) AS agreement,
+    round(CASE WHEN nn / (n * (n - 1)) < 1 THEN (o / n - nn / (n * (n - 1))) / (1 - nn / (n * (n - 1))) END, 6) AS alpha
+FROM o JOIN g USING (kind)"""
+
+P5_FOUND = f"""
+WITH {_CLIPS}
+SELECT clip_id FROM (SELECT clip_id, row_number() OVER (PARTITION BY speaker ORDER BY confidence DESC NULLS LAST, clip_id) AS k FROM c WHERE speaker IS NOT NULL)
+WHERE k > (SELECT floor(count(*) * 0.05) FROM c)"""
+
+P5_NESTED = f"""
+WITH {_CLIPS}, n AS (SELECT count(*) AS n FROM c),
+a AS (SELECT *, row_number() OVER (PARTITION BY channel, speaker ORDER BY confidence DESC NULLS LAST, clip_id) AS k FROM c WHERE speaker IS NOT NULL AND channel IS NOT NULL),
+gone AS (SELECT clip_id FROM a WHERE k > (SELECT floor(n * 0.02) FROM n)),
+b AS (SELECT clip_id, row_number() OVER (PARTITION BY channel ORDER BY confidence DESC NULLS LAST, clip_id) AS k FROM c WHERE channel IS NOT NULL AND clip_id NOT IN (SELECT clip_id FROM gone))
+SELECT clip_id FROM gone UNION ALL SELECT clip_id FROM b WHERE k > (SELECT floor(n * 0.1) FROM n)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p1_agreement": P1_AGREEMENT, "p5_found": P5_FOUND, "p5_nested": P5_NESTED}
