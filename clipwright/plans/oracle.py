@@ -2,6 +2,34 @@
 
 from __future__ import annotations
 
+_BLANKS = "chr(32) || chr(9) || chr(10) || chr(13) || chr(160)"
+
+
+def _key(c: str) -> str:
+    return f"nullif(lower(trim({c}, {_BLANKS})), '')"
+
+
+P7_SPEAKERS = f"""
+WITH w AS (SELECT {_key("speaker_id")} AS key, clip_id, appended_at, n_frames / fps / 3600 AS hours, confidence FROM word_clips),
+l AS (SELECT * FROM w WHERE clip_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY key, clip_id ORDER BY appended_at DESC NULLS LAST, hours DESC NULLS LAST, confidence DESC NULLS LAST) = 1),
+r AS (SELECT key, count(*) AS rows FROM w GROUP BY key),
+s AS (SELECT key, count(*) AS clips, round(sum(hours), 6) AS hours, round(avg(confidence), 6) AS mean_confidence FROM l GROUP BY key)
+SELECT r.key, rows, coalesce(clips, 0) AS clips, coalesce(hours, 0) AS hours, mean_confidence FROM r LEFT JOIN s ON r.key IS NOT DISTINCT FROM s.key"""
+
+P7_REPORTERS = f"""
+WITH w AS (SELECT {_key("reporter")} AS key, clip_file AS clip_id, appended_at, duration_sec / 3600 AS hours FROM reporter_clips),
+l AS (SELECT * FROM w WHERE clip_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY key, clip_id ORDER BY appended_at DESC NULLS LAST, hours DESC NULLS LAST) = 1),
+r AS (SELECT key, count(*) AS rows FROM w GROUP BY key),
+s AS (SELECT key, count(*) AS clips, round(sum(hours), 6) AS hours FROM l GROUP BY key)
+SELECT r.key, rows, coalesce(clips, 0) AS clips, coalesce(hours, 0) AS hours FROM r LEFT JOIN s ON r.key IS NOT DISTINCT FROM s.key"""
+
+P7_FOUND = f"""
+SELECT 'reporter_clips' AS table_name, {_key("reporter")} AS key_value FROM reporter_clips GROUP BY 2
+HAVING key_value IS NOT NULL AND count(*) > (SELECT count(*) * 0.025 FROM reporter_clips)
+UNION ALL
+SELECT 'word_clips', {_key("speaker_id")} AS key_value FROM word_clips GROUP BY 2
+HAVING key_value IS NOT NULL AND count(*) > (SELECT count(*) * 0.025 FROM word_clips)"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p7_found": P7_FOUND, "p7_speakers": P7_SPEAKERS, "p7_reporters": P7_REPORTERS}

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from ..operators import hotkeys
+
 
 def queries() -> dict:
-    return {}
+    return {
+        "p7_found": hotkeys.p7_found,
+        "p7_speakers": hotkeys.p7_speakers,
+        "p7_reporters": hotkeys.p7_reporters,
+    }
