@@ -118,7 +118,7 @@ def per_key(df: DataFrame, key: Column, ident: Column, order: Column, hours: Col
         F.sum("rows").alias("rows"), cutoff("clips", F.lit(1)).alias("clips"), cutoff("hours", F.col("last_hours")).alias("hours"),
         cutoff("conf", F.col("last_conf")).alias("c"), cutoff("conf_n", F.col("last_conf_n")).alias("n"),
     )
-    return out.select("key", "rows", "clips", F.round("hours", 6).alias("hours"), F.round(F.when(F.col("n") > 0, F.col("c") / F.col("n")), 6).alias("mean_confidence"))
+    return out.select("key", "rows", "clips", F.round("hours", 6).alias("hours"), F.round(F.when(F.col("n") > 0, F.col("c") / F.col("n")), 4).alias("mean_confidence"))
 
 
 def ranked(df: DataFrame, keys: list[str], order: list[Column], rank: str = "rank") -> DataFrame:

@@ -13,7 +13,7 @@ P7_SPEAKERS = f"""
 WITH w AS (SELECT {_key("speaker_id")} AS key, clip_id, appended_at, n_frames / fps / 3600 AS hours, confidence FROM word_clips),
 l AS (SELECT * FROM w WHERE clip_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY key, clip_id ORDER BY appended_at DESC NULLS LAST, hours DESC NULLS LAST, confidence DESC NULLS LAST) = 1),
 r AS (SELECT key, count(*) AS rows FROM w GROUP BY key),
-s AS (SELECT key, count(*) AS clips, round(sum(hours), 6) AS hours, round(avg(confidence), 6) AS mean_confidence FROM l GROUP BY key)
+s AS (SELECT key, count(*) AS clips, round(sum(hours), 6) AS hours, round(avg(confidence), 4) AS mean_confidence FROM l GROUP BY key)
 SELECT r.key, rows, coalesce(clips, 0) AS clips, coalesce(hours, 0) AS hours, mean_confidence FROM r LEFT JOIN s ON r.key IS NOT DISTINCT FROM s.key"""
 
 P7_REPORTERS = f"""
