@@ -206,3 +206,30 @@ def p4_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     forms = words.select(F.lit("surface_form").alias("field"), F.col("surface_form").alias("v")).unionAll(sentences.select(F.lit("text"), "text"))
     counted = forms.where("v is not null").groupBy("field", "v").agg(F.count("*").alias("n_rows"))
     return with_plain_form(counted, "v").where("strange").select("field", F.col("v").alias("written"), "plain", "n_rows")
+
+
+@cache
+def _tables():
+    import re
+
+    one, more = compatibility()
+    chars = {**dict.fromkeys(INVISIBLE, None), **dict.fromkeys(SPACES, " "), **one, **more, **ALIKE_ALWAYS}
+    word = {**ALIKE_IN_WORD, **composed_alike()}
+    odd = re.compile(r"[^\x00-\x7F¡-©«¬®-±´-¸»¿-ıĴ-ľŁ-ňŊ-žƀ-ǃǍ-ǰǴ-ȗȜ-ɏ“”’…]")
+    return str.maketrans(chars), str.maketrans(word), frozenset(word), odd, re.compile(r"[Ͱ-ԯ԰-֏ἀ-῿]"), re.compile(r"[A-Za-zªºÀ-ÖØ-öø-ʯᴀ-ᴥḀ-ỿ]"), re.compile(r"[^\W\d_]+|[\W\d_]+"), re.compile(r"([A-Za-zªºÀ-ÖØ-öø-ʯᴀ-ᴥḀ-ỿ])[\u0300-\u036f]+")
+
+
+def plain_text(s: str) -> str:
+    """The plain form of one string, for operators already in Python; the same tables as the SQL."""
+    chars, word, alike, odd, foreign, latin, tokens, marks = _tables()
+    if not odd.search(s):
+        return s
+    s = s.translate(chars)
+    if foreign.search(s):
+        fixed = []
+        for w in s.split(" "):
+            if foreign.search(w) and latin.search(w):
+                w = "".join(t.translate(word) if foreign.search(t) and (latin.search(t) or all(c in alike for c in t if foreign.match(c))) else t for t in tokens.findall(w))
+            fixed.append(w)
+        s = " ".join(fixed)
+    return marks.sub(r"\1", unicodedata.normalize("NFC", s))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import caps, consensus, cross_split, mojibake, plainform, splits
+from . import caps, consensus, cross_split, frequency, leakage, mojibake, packing, plainform, splits
 
 
 def queries() -> dict:
@@ -18,6 +18,11 @@ def queries() -> dict:
         "p4_forms": plainform.p4_forms,
         "p5_found": caps.p5_found,
         "p5_nested": caps.p5_nested,
+        "p6_found": frequency.p6_found,
+        "p6_terms": frequency.p6_terms,
+        "p8_containers": packing.p8_containers,
+        "p9_found": leakage.p9_found,
+        "p9_items": leakage.p9_items,
         "p10_found": mojibake.p10_found,
         "p10_restored": mojibake.p10_restored,
     }
