@@ -46,14 +46,16 @@ def span_frames(start: Column | str, end: Column | str, n_frames: Column | str,
     f0 = frame_of(start, fps) + off
     f1 = F.greatest(frame_of(end, fps) + off, f0 + 1)
     a, b = F.greatest(f0, F.lit(0)), F.least(f1, _c(n_frames))
-    return F.when(a < b, F.struct(a.cast("int").alias("f0"), b.cast("int").alias("f1")))
+    known = _c(start).isNotNull() & _c(end).isNotNull() & _c(n_frames).isNotNull()
+    return F.when(known & (a < b), F.struct(a.cast("int").alias("f0"), b.cast("int").alias("f1")))
 
 
 def occurrence_frames(start: Column | str, end: Column | str, n_frames: Column | str, fps: int = FPS) -> Column:
-    """struct(start_sec, end_sec, f0, f1, clamped) of an occurrence clamped into its sentence."""
+    """struct(start_sec, end_sec, f0, f1, clamped) of an occurrence clamped into its sentence; null if a bound is unknown."""
     n, length = _c(n_frames), _c(n_frames) / fps
     s, e = F.least(F.greatest(_c(start), F.lit(0.0)), length), F.least(F.greatest(_c(end), F.lit(0.0)), length)
     f0 = F.least(F.bround(s * fps).cast("int"), n - 1)
     f1 = F.least(F.greatest(f0 + 1, F.bround(e * fps).cast("int")), n)
     clamped = (s != _c(start)) | (e != _c(end))
-    return F.struct(s.alias("start_sec"), e.alias("end_sec"), f0.cast("int").alias("f0"), f1.cast("int").alias("f1"), clamped.alias("clamped"))
+    known = _c(start).isNotNull() & _c(end).isNotNull() & n.isNotNull()
+    return F.when(known, F.struct(s.alias("start_sec"), e.alias("end_sec"), f0.cast("int").alias("f0"), f1.cast("int").alias("f1"), clamped.alias("clamped")))

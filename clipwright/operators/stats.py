@@ -14,7 +14,8 @@ def edges(lo: float, hi: float, width: float, digits: int = 6) -> list[float]:
 def histogram(df: DataFrame, value: Column, group: str, bounds: list[float]) -> DataFrame:
     """(group, lo, n, share) of every group and bin: values clipped to the bounds, the last bin closed, share of known values."""
     top = len(bounds) - 1
-    v = F.least(F.greatest(value.cast("double"), F.lit(bounds[0])), F.lit(bounds[-1]))
+    # least and greatest pass over nulls, so an unknown value must be kept out of them.
+    v = F.when(value.isNotNull(), F.least(F.greatest(value.cast("double"), F.lit(bounds[0])), F.lit(bounds[-1])))
     arr = F.array(*map(F.lit, bounds))
     known = df.select(F.col(group).alias("group"), v.alias("v")).where("v IS NOT NULL")
     bins = known.select("group", F.least(F.size(F.filter(arr, lambda e: e <= F.col("v"))), F.lit(top)).alias("bin"))

@@ -531,7 +531,7 @@ def span_frames(spark: SparkSession, d: str) -> DataFrame:
 
 def media_names(spark: SparkSession, d: str) -> DataFrame:
     c = _clips(spark, d)
-    return c.select("clip_id", ids.media_name("clip_id", "split").alias("media"), ids.stem_of("source_clip").alias("stem"), ids.group_seed("lemma_cls", "split").alias("seed"), ids.release_path("source_clip").alias("path"))
+    return c.select("clip_id", ids.media_name("clip_id", "split").alias("media"), ids.stem_of("source_clip").alias("stem"), ids.release_path("source_clip").alias("path"))
 
 
 def item_names(spark: SparkSession, d: str) -> DataFrame:
