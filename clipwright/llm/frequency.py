@@ -2,8 +2,8 @@
 
 A global dictionary gives every distinct (field, term) a dense integer. Encoded rows are accumulated
 into blocks of counters, one numpy array per identifier range, and the arrays of a range are summed.
-Occurrences are pre-aggregated per (term, source clip, speaker) before they meet the dictionary, so
-a term that makes up a third of all rows travels as one row per source clip, not per occurrence.
+A term that makes up a third of all rows is split by the skew join when it is encoded; after that
+its occurrences are counted where they lie and only arrays travel.
 
 Defined results
   null or empty value, nothing but punctuation -> no term
@@ -20,11 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_key
-from ..session import cut
+from ..session import cut, release
 from .plainform import latest_rows, term_of, to_plain
 
 BLOCK = 4096
@@ -100,25 +100,34 @@ def counted(encoded: DataFrame) -> DataFrame:
     return ranges.mapInArrow(_summed, "id bigint, clips bigint, speakers bigint, sources bigint")
 
 
-def clip_terms(words: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The deduplicated clips, and their terms in long form (field, term, speaker, source, n)."""
-    rows = words.select("clip_id", "appended_at", "surface_form", "lemma", clean_key("speaker_id").alias("speaker"), "source_clip")
-    clips = cut(to_plain(latest_rows(rows, ["surface_form", "lemma", "speaker", "source_clip"]), "surface_form", "lemma"))
-    pairs = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), term_of(f).alias("term")) for f in ("surface_form", "lemma")))).alias("p")
-    long = clips.select("speaker", F.col("source_clip").alias("source"), pairs).select("p.field", "p.term", "speaker", "source").where("term <> ''")
-    return clips, long.groupBy("field", "term", "source", "speaker").agg(F.count("*").alias("n"))
+def _fingerprint(c: Column) -> Column:
+    """128 bits of an id that is only counted, never shown: a quarter of its length in every shuffle."""
+    return F.unhex(F.md5(c))
+
+
+def clip_terms(words: DataFrame) -> DataFrame:
+    """The deduplicated clips: their two terms, and fingerprints of speaker and source clip."""
+    rows = words.select(_fingerprint(F.col("clip_id")).alias("clip_id"), "appended_at", "surface_form", "lemma", _fingerprint(clean_key("speaker_id")).alias("speaker"), _fingerprint(F.col("source_clip")).alias("source"))
+    clips = to_plain(latest_rows(rows, ["surface_form", "lemma", "speaker", "source"]), "surface_form", "lemma")
+    return clips.select(term_of("surface_form").alias("surface_form"), term_of("lemma").alias("lemma"), "speaker", "source")
 
 
 def term_counts(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The deduplicated clips, and (field, term, clips, speakers, sources) of every distinct term."""
-    clips, cells = clip_terms(words)
-    cells = cut(cells)
-    terms = cut(dictionary(cells, ["field", "term"]))
-    speakers = cells.where("speaker IS NOT NULL").select("field", "term", "speaker").distinct().select("field", "term", F.lit(1).alias("kind"), F.lit(1).cast("bigint").alias("n"))
-    sources = cells.where("source IS NOT NULL").select("field", "term", "source").distinct().select("field", "term", F.lit(2).alias("kind"), F.lit(1).cast("bigint").alias("n"))
-    rows = cells.select("field", "term", F.lit(0).alias("kind"), "n").unionAll(speakers).unionAll(sources)
-    encoded = rows.join(terms, ["field", "term"]).select("id", "kind", "n")
-    return clips, terms.join(counted(encoded), "id").select("field", "term", *MEASURES)
+    clips = cut(clip_terms(words))
+    pairs = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("term")) for f in ("surface_form", "lemma")))).alias("p")
+    long = clips.select("speaker", "source", pairs).select("p.field", "p.term", "speaker", "source").where("term <> ''")
+    terms = cut(dictionary(long, ["field", "term"]))
+    # From here on a term is its integer; a heavy term's rows are split by Spark's skew join.
+    rows = cut(long.join(terms, ["field", "term"]).select("id", "speaker", "source"))
+    one = F.lit(1).cast("bigint").alias("n")
+    speakers = rows.where("speaker IS NOT NULL").select("id", "speaker").distinct().select("id", F.lit(1).alias("kind"), one)
+    sources = rows.where("source IS NOT NULL").select("id", "source").distinct().select("id", F.lit(2).alias("kind"), one)
+    encoded = rows.select("id", F.lit(0).alias("kind"), one).unionAll(speakers).unionAll(sources)
+    counts = cut(terms.join(counted(encoded), "id").select("field", "term", *MEASURES))
+    release(rows)
+    release(terms)
+    return clips, counts
 
 
 def listed_lemmas(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,7 +136,7 @@ def listed_lemmas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def marks(counts: DataFrame, clips: DataFrame, listed: DataFrame, min_clips: int = 3, min_speakers: int = 2, max_share: float = 0.2) -> DataFrame:
-    total = clips.agg(F.count_distinct("source_clip").alias("total"))
+    total = clips.agg(F.count_distinct("source").alias("total"))
     rare = counts.where((F.col("clips") < min_clips) | (F.col("speakers") < min_speakers)).select("field", "term", F.lit("rare").alias("mark"))
     common = counts.crossJoin(F.broadcast(total)).where(F.col("sources") > F.col("total") * max_share).select("field", "term", F.lit("common").alias("mark"))
     lemmas = counts.where("field = 'lemma'").select("term", "clips", "speakers")
@@ -139,7 +148,7 @@ def marks(counts: DataFrame, clips: DataFrame, listed: DataFrame, min_clips: int
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     clips, counts = term_counts(spark.read.parquet(f"{sf_dir}/word_clips.parquet"))
-    return marks(cut(counts), clips, listed_lemmas(spark, sf_dir))
+    return marks(counts, clips, listed_lemmas(spark, sf_dir))
 
 
 def p6_terms(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -186,7 +186,7 @@ def term_of(plain: Column | str) -> Column:
 
 def latest_rows(df: DataFrame, columns: list[str], key: str = "clip_id", at: str = "appended_at") -> DataFrame:
     """One row per key, that of latest ``at``; among equals the greatest values decide, so the choice is stable."""
-    new = F.max_by(F.struct(*columns), F.struct(F.col(at), *(F.col(c) for c in columns))).alias("_r")
+    new = F.max(F.struct(F.col(at).alias("_at"), *(F.col(c) for c in columns))).alias("_r")
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(new).select(key, *(F.col(f"_r.{c}").alias(c) for c in columns))
 
 
