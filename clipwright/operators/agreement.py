@@ -17,7 +17,7 @@ def flatten_exports(exports: DataFrame, stem: str = "stem") -> DataFrame:
     rows = a.select(
         F.col("data.kind").alias("kind"), F.col("data.clip_id").alias("clip_id"), F.col("data.split").alias("split"), F.col("data.speaker_id").alias("speaker_id"),
         F.col("data.auto_start_sec").alias("auto_start_sec"), F.col("data.auto_end_sec").alias("auto_end_sec"), F.concat_ws(":", stem, who).alias("annotator"),
-        F.get(of("verdict")["value"]["choices"], F.lit(0)).alias("verdict"), F.trim(F.array_join(of("label_fix")["value"]["text"], " ")).alias("label_fix"),
+        F.get(of("verdict")["value"]["choices"], F.lit(0)).alias("verdict"), F.coalesce(F.trim(F.array_join(of("label_fix")["value"]["text"], " ")), F.lit("")).alias("label_fix"),
         of("occ")["value"]["start"].alias("occ_start"), of("occ")["value"]["end"].alias("occ_end"), "ordinal", "n",
     )
     return rows.where(F.coalesce("verdict", F.lit("")) != "")

@@ -5,26 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 
 def unit_combos(units: DataFrame, max_size: int = 3, lo: float = 0.06, hi: float = 0.14) -> DataFrame:
     """(combo, share): sorted arrays of 1..max_size units whose rows are a share in [lo, hi] of all.
 
     Units above the band are dropped first, and each size grows only from combinations still at or
-    below it, so no product over all units is formed.
+    below it, so no product over all units is formed. Each level is written, so that its true, small
+    size decides how the next one joins to it.
     """
     total = units.agg(F.sum("n").alias("_t"))
-    u = units.crossJoin(F.broadcast(total)).select("unit", (F.col("n") / F.col("_t")).alias("share")).where(F.col("share") <= hi)
+    u = cut(units.crossJoin(F.broadcast(total)).select("unit", (F.col("n") / F.col("_t")).alias("share")).where(F.col("share") <= hi).coalesce(1))
     level = u.select(F.array("unit").alias("combo"), "share")
     out = level
     nxt = u.select(F.col("unit").alias("_u"), F.col("share").alias("_s"))
     for _ in range(max_size - 1):
-        level = level.join(nxt, (F.element_at("combo", -1) < F.col("_u")) & (F.col("share") + F.col("_s") <= hi)).select(F.concat("combo", F.array("_u")).alias("combo"), (F.col("share") + F.col("_s")).alias("share"))
+        level = cut(level.join(nxt, (F.element_at("combo", -1) < F.col("_u")) & (F.col("share") + F.col("_s") <= hi)).select(F.concat("combo", F.array("_u")).alias("combo"), (F.col("share") + F.col("_s")).alias("share")).coalesce(1))
         out = out.unionAll(level)
     return out.where(F.col("share") >= lo)
 
 
 def combo_pairs(combos: DataFrame, target: float = 0.1) -> DataFrame:
     """(test, val, shares, score) of disjoint pairs; the score is the distance of both shares from the target, in points."""
+    combos = cut(combos.coalesce(1))
     t = combos.select(F.col("combo").alias("test"), F.col("share").alias("test_share"))
     v = combos.select(F.col("combo").alias("val"), F.col("share").alias("val_share"))
     score = F.round(100 * (F.abs(F.col("test_share") - target) + F.abs(F.col("val_share") - target)), 2)
@@ -36,6 +40,7 @@ def classes_left(pairs: DataFrame, unit_class: DataFrame, min_train: int) -> Dat
 
     Held counts are summed once per combination, then subtracted per pair and class.
     """
+    pairs = cut(pairs)
     total = unit_class.groupBy("class").agg(F.sum("n").alias("tot")).where(F.col("tot") >= min_train)
     combos = pairs.select(F.col("test").alias("combo")).unionAll(pairs.select("val")).distinct()
     held = combos.select("combo", F.explode("combo").alias("unit")).join(unit_class, "unit").groupBy("combo", "class").agg(F.sum("n").alias("held"))

@@ -40,7 +40,7 @@ def read_manifest(spark: SparkSession, path: str, fields: dict[str, str], key: s
     Trailing NULs are cut, and so is a last line without its line end (together one bad row); rows
     without a key, with a NUL in it, or with an empty fps are bad; over-long rows are skipped uncounted.
     """
-    text = spark.read.option("wholetext", "true").text(path).select(F.col("value").alias("raw"))
+    text = spark.read.text(path, wholetext=True).select(F.col("value").alias("raw"))
     body = F.regexp_replace("raw", "\u0000+$", "")
     whole = F.regexp_extract(body, r"(?s)^(.*\n)", 1)
     lines = text.select((F.length(whole) != F.length("raw")).cast("int").alias("cut"), F.posexplode(F.split(F.regexp_replace(whole, r"\r?\n$", ""), r"\r?\n")).alias("pos", "line"))
@@ -68,7 +68,7 @@ def read_journal(spark: SparkSession, path: str) -> DataFrame:
 
 def read_map(spark: SparkSession, path: str, value: str = "int") -> DataFrame:
     """A JSON object file as rows (id, value)."""
-    text = spark.read.option("wholetext", "true").text(path)
+    text = spark.read.text(path, wholetext=True)
     return text.select(F.explode(F.from_json("value", f"map<string,{value}>")).alias("id", "value"))
 
 

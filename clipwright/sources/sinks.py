@@ -30,19 +30,19 @@ def read_text(spark: SparkSession, path: str) -> str | None:
     p, fs = _fs(spark, path)
     if not fs.exists(p):
         return None
-    return "\n".join(r[0] for r in spark.read.option("wholetext", "true").text(path).collect())
+    return "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
 
 
 def commit_snapshot(df: DataFrame, root: str) -> str:
     """Rewrite a table: a new snapshot folder, then the pointer. Readers see the old one or the new one, never a mix."""
     name = f"v-{uuid.uuid4().hex}"
     df.write.parquet(f"{root}/{name}")
-    write_text(df.sparkSession, f"{root}/_current", name)
+    write_text(df.sparkSession, f"{root}/CURRENT", name)
     return name
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
-    name = read_text(spark, f"{root}/_current")
+    name = read_text(spark, f"{root}/CURRENT")
     return spark.read.parquet(f"{root}/{name.strip()}") if name else None
 
 
