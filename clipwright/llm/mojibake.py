@@ -76,7 +76,7 @@ def garbled_sequences() -> dict[str, Garble]:
             out.setdefault(g, Garble(c, weight, decoder))
     for first in TWICE:
         for second in TWICE:
-            for c in chars[: 0x250 - 0xA0 + 400]:
+            for c in chars:
                 out.setdefault(_misread(_misread(c, first), second), Garble(c, 2, second))
     return out
 
@@ -115,7 +115,9 @@ def repair(text: str | None, depth: int = 3) -> tuple[str | None, int, bool]:
         is_sure = [w == 2 or (w == 1 and text[e : e + 1].isalpha()) for _, e, _, w, _ in found]
         decoders = {x[4] for x, y in zip(found, is_sure) if y}
         parts = [(s, e, c) for (s, e, c, w, how), y in zip(found, is_sure) if y or (w >= 0 and how in decoders)]
-        singles = [(s, e, c) for s, e, c, w, _ in found if w == -1]
+        # A pair of letters that was no garble may still hold a single one.
+        taken = {s for s, _, _ in parts}
+        singles = [(i, i + 1, SINGLE[text[i]]) for s, e, *_ in found if s not in taken for i in range(s, e) if text[i] in SINGLE]
         if singles:
             rest = _replaced(text, parts)
             if len(TURKISH.findall(rest)) > len(OTHERS.findall(rest)):

@@ -56,7 +56,7 @@ def test_near_classes_against_brute_force(spark):
 
 def test_pairs(spark, tmp_path):
     t = "bir iki üç dört beş altı yedi sekiz dokuz on"
-    sent = [("a", "v1", t), ("b", "t1", t.upper().replace("İKI", "İKİ") + "!"), ("c", "t1", t.replace("beş", "ｂｅş").replace("üç", "on")), ("d", "t1", t.replace("üç", "x").replace("on", "y").replace("bir", "z")), ("e", "n1", t), ("f", "v1", "kısa söz"), ("g", "t1", None)]
+    sent = [("a", "v1", t), ("b", "t1", t.replace("i", "İ").upper() + "!"), ("c", "t1", t.replace("beş", "ｂｅş").replace("üç", "on")), ("d", "t1", t.replace("üç", "x").replace("on", "y").replace("bir", "z")), ("e", "n1", t), ("f", "v1", "kısa söz"), ("g", "t1", None)]
     words = [dict(clip_id="w1", source_clip="v1", split="val", appended_at=at(0)), dict(clip_id="w2", source_clip="t1", split="train", appended_at=at(0)), dict(clip_id="w3", source_clip="t1", split=None, appended_at=at(0)), dict(clip_id="w4", source_clip="n1", split=None, appended_at=at(0))]
     rows_ = [dict(clip_id=c, source_clip=s_, text=v, channel="K1", appended_at=at(1)) for c, s_, v in sent] + [dict(clip_id="d", source_clip="t1", text="x", appended_at=at(0))]
     d = write_all(spark, tmp_path / "t", word_clips=words, sentence_clips=rows_)
