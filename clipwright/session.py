@@ -77,5 +77,15 @@ def _sweep() -> None:
             return
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a table scan to all cores where its files are too few to occupy half of them.
+
+    Only small inputs are: a table of many files or row groups has more partitions than that and is
+    read as it lies, without a shuffle. Call it on a scan, whose partitions are known without a job.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() * 2 < cores else scan
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
