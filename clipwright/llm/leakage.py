@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread
 from .mojibake import LOST, repair
 from .plainform import plain_text
 
@@ -223,7 +224,7 @@ def leaks(documents: DataFrame, passages: DataFrame, doc_id: str = "doc_id", ite
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leaks(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/eval_passages.parquet"))
+    return leaks(spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")), spark.read.parquet(f"{sf_dir}/eval_passages.parquet"))
 
 
 def p9_items(spark: SparkSession, sf_dir: str) -> DataFrame:

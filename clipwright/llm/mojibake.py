@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..session import spread
+
 #: Decoders that text written in UTF-8 was wrongly read with; the first that explains a sequence wins.
 WRONG_DECODERS = ("cp1252", "latin-1", "cp1254", "mac_roman", "cp850", "cp437", "cp857", "cp1250", "iso8859_2", "cp1251", "cp1253")
 TWICE = ("cp1252", "latin-1", "cp1254")
@@ -157,11 +159,11 @@ def restored(df: DataFrame, text: str = "text", only_affected: bool = False, wit
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return restored(docs, only_affected=True, with_text=False).select("doc_id")
 
 
 def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every affected document with its original text where it can be had."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return restored(docs, only_affected=True).select("doc_id", "restored", "garbled_spans", "restorable")

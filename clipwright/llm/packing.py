@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, spread
 
 CAPACITY, GROUP = 2048, 20_000
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
@@ -119,6 +119,6 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Dat
 
 def p8_containers(spark: SparkSession, sf_dir: str, capacity: int = CAPACITY, tokenizer: str = TOKENIZER) -> DataFrame:
     """A container number for every text or piece of an over-long text."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     out = pack(pieces_of(token_counts(docs, "doc_id", "text", tokenizer), capacity), capacity)
     return out.select(F.col("id").alias("doc_id"), "piece", "tokens", "container")

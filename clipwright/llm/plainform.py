@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import strip_edges, turkish_lower
+from ..session import spread
 
 # Characters nobody sees.
 INVISIBLE = (
@@ -191,7 +192,7 @@ def latest_rows(df: DataFrame, columns: list[str], key: str = "clip_id", at: str
 
 
 def strange_clips(df: DataFrame, value: str, table_name: str) -> DataFrame:
-    flagged = with_plain_form(df.select("clip_id", "appended_at", F.col(value).alias("v")), "v").select("clip_id", "appended_at", F.coalesce("strange", F.lit(False)).alias("strange"))
+    flagged = with_plain_form(spread(df.select("clip_id", "appended_at", F.col(value).alias("v"))), "v").select("clip_id", "appended_at", F.coalesce("strange", F.lit(False)).alias("strange"))
     return latest_rows(flagged, ["strange"]).where("strange").select(F.lit(table_name).alias("table_name"), "clip_id")
 
 
