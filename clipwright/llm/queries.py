@@ -66,5 +66,56 @@ b AS (SELECT clip_id, row_number() OVER (PARTITION BY channel ORDER BY confidenc
 SELECT clip_id FROM gone UNION ALL SELECT clip_id FROM b WHERE k > (SELECT floor(n * 0.1) FROM n)"""
 
 
+_LOW = "lower(translate({0}, 'İI', 'iı'))"
+_EDGES = r"'^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$'"
+
+
+def _latest(table: str, columns: str) -> str:
+    """One row per clip, that of latest appended_at and of greatest values among equals."""
+    order = ", ".join(f"{c.split(' AS ')[-1]} DESC NULLS LAST" for c in columns.split("; "))
+    return f"SELECT clip_id, {', '.join(columns.split('; '))} FROM {table} WHERE clip_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY clip_id ORDER BY appended_at DESC NULLS LAST, {order}) = 1"
+
+
+def _plain(source: str) -> str:
+    """source: a table expression with columns v and others; its plain form is added."""
+    return plainform.plain_sql(source, "v")
+
+
+def _term(c: str) -> str:
+    return _LOW.format(f"regexp_replace({c}, {_EDGES}, '', 'g')")
+
+
+P2_FOUND = f"""
+WITH RECURSIVE e AS (SELECT DISTINCT {_key("speaker_id")} AS s, {_key("channel", "-", "bilinmiyor")} AS c FROM word_clips), k AS (SELECT * FROM e WHERE s IS NOT NULL AND c IS NOT NULL),
+p AS (SELECT DISTINCT a.s AS s, b.s AS t FROM k a JOIN k b USING (c)), r AS (SELECT s, t FROM p UNION SELECT r.s, p.t FROM r JOIN p ON r.t = p.s)
+SELECT s AS speaker_id, min(t) AS unit_id FROM r GROUP BY s HAVING count(*) > 1"""
+
+_FORMS = "SELECT 'surface_form' AS field, surface_form AS v FROM word_clips UNION ALL SELECT 'text', text FROM sentence_clips"
+P4_FORMS = f"""
+WITH f AS (SELECT field, v, count(*) AS n_rows FROM ({_FORMS}) WHERE v IS NOT NULL GROUP BY 1, 2), p AS ({_plain("f")})
+SELECT field, v AS written, plain, n_rows FROM p WHERE strange"""
+
+P4_FOUND = f"""
+WITH d AS (SELECT DISTINCT v FROM ({_FORMS})), p AS MATERIALIZED ({_plain("d")}),
+r AS (SELECT 'word_clips' AS table_name, clip_id, appended_at, surface_form AS v FROM word_clips UNION ALL SELECT 'sentence_clips', clip_id, appended_at, text FROM sentence_clips),
+k AS (SELECT table_name, clip_id, coalesce(strange, false) AS strange FROM r LEFT JOIN p USING (v) WHERE clip_id IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY table_name, clip_id ORDER BY appended_at DESC NULLS LAST, coalesce(strange, false) DESC) = 1)
+SELECT table_name, clip_id FROM k WHERE strange"""
+
+_TERMS = f"""w AS ({_latest("(SELECT * REPLACE (" + _key("speaker_id") + " AS speaker_id) FROM word_clips)", "surface_form; lemma; speaker_id; source_clip")}),
+d AS (SELECT DISTINCT v FROM (SELECT surface_form AS v FROM w UNION ALL SELECT lemma FROM w UNION ALL SELECT lemma FROM lemma_classes_605) WHERE v IS NOT NULL), p AS MATERIALIZED ({_plain("d")}),
+n AS (SELECT v, {_term("plain")} AS term FROM p),
+x AS (SELECT 'surface_form' AS field, term, clip_id, speaker_id, source_clip FROM w JOIN n ON w.surface_form = n.v UNION ALL SELECT 'lemma', term, clip_id, speaker_id, source_clip FROM w JOIN n ON w.lemma = n.v),
+c AS (SELECT field, term, count(*) AS clips, count(DISTINCT speaker_id) AS speakers, count(DISTINCT source_clip) AS sources FROM x WHERE term <> '' GROUP BY 1, 2)"""
+P6_TERMS = f"WITH {_TERMS} SELECT * FROM c"
+P6_FOUND = f"""
+WITH {_TERMS}, l AS (SELECT term, "count" AS lc, speakers AS ls FROM lemma_classes_605 JOIN n ON lemma = v WHERE term <> '')
+SELECT field, term, 'rare' AS mark FROM c WHERE clips < 3 OR speakers < 2
+UNION ALL SELECT field, term, 'common' FROM c WHERE sources > (SELECT count(DISTINCT source_clip) * 0.2 FROM w)
+UNION ALL SELECT DISTINCT 'lemma', l.term, 'stale' FROM l LEFT JOIN (SELECT * FROM c WHERE field = 'lemma') k ON l.term = k.term WHERE lc IS DISTINCT FROM coalesce(clips, 0) OR ls IS DISTINCT FROM coalesce(speakers, 0)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p1_agreement": P1_AGREEMENT, "p5_found": P5_FOUND, "p5_nested": P5_NESTED}
+    return {
+        "p1_agreement": P1_AGREEMENT, "p2_found": P2_FOUND, "p4_forms": P4_FORMS, "p4_found": P4_FOUND, "p5_found": P5_FOUND, "p5_nested": P5_NESTED, "p6_terms": P6_TERMS, "p6_found": P6_FOUND,
+    }
