@@ -141,3 +141,19 @@ def last_session(df: DataFrame, keys: list[str], at: str, gap_sec: float = 600.0
     cutoff = recent.withColumn("_gap", F.coalesce((sec - F.lag(sec).over(w)) > gap_sec, F.lit(False)))
     tail = F.sum(F.col("_gap").cast("int")).over(w.rowsBetween(1, Window.unboundedFollowing))
     return cutoff.withColumn("_tail", F.coalesce(tail, F.lit(0))).where("_tail = 0").drop("_r", "_gap", "_tail")
+
+
+def recent_rate(df: DataFrame, keys: list[str], at: str, intervals: int = 5) -> DataFrame:
+    """(keys, overall, recent): rows an hour over all of a key's rows, and over its last ``intervals`` gaps; null for a single moment."""
+    sec = F.col(at).cast("timestamp").cast("double")
+    r = df.select(*keys, sec.alias("_s")).withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("_s"))))
+    last = F.when(F.col("_r") <= intervals + 1, F.col("_s"))
+    per_hour = lambda n, lo, hi: F.when(hi > lo, (n - 1) * 3600 / (hi - lo))
+    g = r.groupBy(*keys).agg(F.count("_s").alias("_n"), F.min("_s").alias("_lo"), F.max("_s").alias("_hi"), F.count(last).alias("_m"), F.min(last).alias("_l"))
+    return g.select(*keys, per_hour(F.col("_n"), F.col("_lo"), F.col("_hi")).alias("overall"), per_hour(F.col("_m"), F.col("_l"), F.col("_hi")).alias("recent"))
+
+
+def idle(df: DataFrame, keys: list[str], at: str, now: Column, limit_sec: float = 600.0) -> DataFrame:
+    """(keys, last, idle): whether a key's newest moment is longer ago than the limit."""
+    g = df.groupBy(*keys).agg(F.max(at).alias("last"))
+    return g.withColumn("idle", (now.cast("timestamp").cast("double") - F.col("last").cast("timestamp").cast("double")) > limit_sec)

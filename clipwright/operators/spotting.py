@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions.text import has_label, lemma_class, surface_class
 from ..functions.timing import occurrence_frames
 from ..schemas import SPAN
-from .vocab import dense
 
 
 def spans(sentences: DataFrame) -> DataFrame:
@@ -53,4 +52,13 @@ def class_table(vocab: DataFrame, q: DataFrame, neg: DataFrame, min_positive: in
     return out.withColumn("evaluable", (F.col("test_pos_sentences") >= min_positive).cast("int"))
 
 
-__all__ = ["broken_spans", "clamped_spans", "class_table", "dense", "positives", "queries", "spans"]
+
+def occurrence_labels(q: DataFrame) -> DataFrame:
+    """One row per occurrence with all classes it serves under any labeling, sorted and joined."""
+    key = ["clip_id", "start_sec", "end_sec", "surface_form"]
+    return q.groupBy(*key).agg(F.array_join(F.array_sort(F.collect_set(F.concat_ws(":", "labeling", "class"))), " / ").alias("labels"))
+
+
+def tasks(items: DataFrame, columns: list[str]) -> DataFrame:
+    """(clip_id, task): an annotation task per row as JSON, its data in the given columns."""
+    return items.select("clip_id", F.to_json(F.struct(F.struct(*columns).alias("data")), {"ignoreNullFields": "false"}).alias("task"))

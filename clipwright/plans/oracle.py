@@ -154,6 +154,12 @@ SQL: dict[str, str] = {
         SELECT labeling, class, coalesce(vo, 0) AS val_occurrences, coalesce(tocc, 0) AS test_occurrences, coalesce(vp, 0) AS val_pos_sentences, coalesce(tp, 0) AS test_pos_sentences,
         coalesce(vn, 0) AS val_neg_sentences, coalesce(tn, 0) AS test_neg_sentences, (coalesce(tp, 0) >= 5)::INT AS evaluable FROM v LEFT JOIN n USING (labeling, class) LEFT JOIN m USING (labeling, class)""",
     "spotting_clamped": f"WITH {Q} SELECT count(*) AS clamped FROM (SELECT DISTINCT clip_id, pos FROM q WHERE clamped)",
+    "occurrence_labels": f"WITH {Q} SELECT clip_id, start_sec, end_sec, surface_form, array_to_string(list_sort(list(DISTINCT labeling || ':' || class)), ' / ') AS labels FROM q GROUP BY ALL",
+    "annotation_tasks": f"WITH {C} SELECT clip_id, to_json({{'data': {{'clip_id': clip_id, 'split': split, 'surface': surface}}}})::VARCHAR AS task FROM c WHERE split = 'test'",
+    "recent_rates": """WITH r AS (SELECT user_id, epoch_us(ts) / 1000000 AS s, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events)
+        SELECT user_id, round(CASE WHEN max(s) > min(s) THEN (count(*) - 1) * 3600 / (max(s) - min(s)) END, 4) AS overall,
+        round(CASE WHEN max(s) > min(s) FILTER (rn <= 6) THEN (count(*) FILTER (rn <= 6) - 1) * 3600 / (max(s) - min(s) FILTER (rn <= 6)) END, 4) AS recent FROM r GROUP BY user_id""",
+    "idle_users": "SELECT user_id, epoch_us(TIMESTAMP '2024-01-30 12:00:00') - epoch_us(max(ts)) > 86400000000 AS idle FROM events GROUP BY user_id",
     "broken_spans": "SELECT count(*) AS rows, count(*) FILTER (word_spans IS NULL OR NOT json_valid(word_spans)) AS broken FROM sentence_clips",
     "track_islands": """WITH e AS (SELECT *, CASE WHEN event_type <> 'error' THEN value END AS solo FROM events), p AS (SELECT *, lag(solo) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM e),
         t AS (SELECT *, sum((solo IS NULL OR prev IS NULL OR abs(solo - prev) >= 5)::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS track FROM p)

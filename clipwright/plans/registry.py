@@ -212,6 +212,14 @@ def spotting_clamped(spark: SparkSession, d: str) -> DataFrame:
     return spotting.clamped_spans(_queries(spark, d))
 
 
+def occurrence_labels(spark: SparkSession, d: str) -> DataFrame:
+    return spotting.occurrence_labels(_queries(spark, d))
+
+
+def annotation_tasks(spark: SparkSession, d: str) -> DataFrame:
+    return spotting.tasks(_clips(spark, d).where("split = 'test'"), ["clip_id", "split", "surface"])
+
+
 def broken_spans(spark: SparkSession, d: str) -> DataFrame:
     return spotting.broken_spans(table(spark, d, "sentence_clips"))
 
@@ -282,6 +290,14 @@ def last_session(spark: SparkSession, d: str) -> DataFrame:
     return seq.last_session(_events(spark, d).select("user_id", "event_id", "ts"), _K, "ts", 86400.0, 400).groupBy("user_id").agg(F.count("*").alias("n"), F.min("ts").alias("since"))
 
 
+def recent_rates(spark: SparkSession, d: str) -> DataFrame:
+    return seq.recent_rate(_events(spark, d), ["user_id"], "ts", 5).select("user_id", F.round("overall", 4).alias("overall"), F.round("recent", 4).alias("recent"))
+
+
+def idle_users(spark: SparkSession, d: str) -> DataFrame:
+    return seq.idle(_events(spark, d), ["user_id"], "ts", F.lit("2024-01-30 12:00:00"), 86400.0).select("user_id", "idle")
+
+
 def change_points(spark: SparkSession, d: str) -> DataFrame:
     e = _events(spark, d)
     changed = ~seq.before("event_type", _K, _O).eqNullSafe(F.col("event_type"))
@@ -605,7 +621,7 @@ def speaker_sets(spark: SparkSession, d: str) -> DataFrame:
 _NAMES = (
     token_classes, vocab_surface, vocab_lemma, vocab_removals, class_split_dense, in_vocab_flags, top_share, class_ranks, quality_rules, quality_reasons, small_faces, empty_profile, item_checks,
     channel_leak, lemma_fallbacks, lemma_backfill, lemma_choice, train_cap, stratified_sample, annotator_assignment, per_class_sample, global_sample, round_robin, rank_slice, rarest_classes,
-    interleaved, spotting_queries, spotting_negatives, spotting_classes, spotting_clamped, broken_spans, track_islands, forward_filled, centred_stats, median_filtered, short_holes_filled,
+    interleaved, spotting_queries, spotting_negatives, spotting_classes, spotting_clamped, broken_spans, occurrence_labels, annotation_tasks, recent_rates, idle_users, track_islands, forward_filled, centred_stats, median_filtered, short_holes_filled,
     spread_counts, jumps, smoothed, padded_windows, pauses, last_session, change_points, chunk_tiles, sessions, hourly_counts, streamed_words, queue_selection, greedy_overlap, merged_speakers,
     merge_counts, zero_clip_rows, stable_order, budget_stop, channel_enrichment, height_classes, pending_sources, committed_rows, journal_replay, orphan_files, segment_validation, kappa,
     confusion, verified_items, corrected_truth, release_words, confidence_histogram, height_quantiles, split_shares, rollup_total, distributions, pair_counts, speaker_stats, index_percentiles,
