@@ -20,10 +20,9 @@ def bipartite_components(edges: DataFrame, left: str, right: str, max_rounds: in
     for _ in range(max_rounds):
         by_right = e.join(labels, "l").groupBy("r").agg(F.min("unit").alias("unit"))
         offered = e.join(by_right, "r").groupBy("l").agg(F.min("unit").alias("new"))
-        step = cut(labels.join(offered, "l").select("l", "unit", F.least("unit", "new").alias("new")))
-        jump = step.select(F.col("l").alias("at"), F.col("new").alias("far"))
-        nxt = cut(step.join(jump, F.col("new") == F.col("at"), "left").select("l", "unit", F.least(F.col("new"), F.coalesce("far", "new")).alias("new")))
-        release(step)
+        jump = labels.select(F.col("l").alias("at"), F.col("unit").alias("far"))
+        step = labels.join(offered, "l").join(jump, F.col("unit") == F.col("at"), "left")
+        nxt = cut(step.select("l", "unit", F.least(F.col("unit"), F.col("new"), F.coalesce("far", "unit")).alias("new")))
         changed = nxt.where("unit <> new").limit(1).count()
         release(labels)
         labels = nxt.select("l", F.col("new").alias("unit"))
