@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry, ids, text, timing, urls
 from ..operators import agreement, graph, hotkeys, items, lemma, quality, queue, release, sampling, seq, splitsearch, spotting, stats, sync, vocab
 from ..schemas import SPAN
-from ..session import checkpoint_root, cut, table
+from ..session import cut, scratch, table
 from ..sources import manifests, sinks
 from ..streaming import incremental
 
@@ -319,9 +319,7 @@ def hourly_counts(spark: SparkSession, d: str) -> DataFrame:
 
 def streamed_words(spark: SparkSession, d: str) -> DataFrame:
     """word_clips read as a stream and committed with its marker last, then counted back per split."""
-    import uuid
-
-    root = f"{checkpoint_root(spark)}/stream-{uuid.uuid4().hex}"
+    root = scratch(spark, "stream")
     path = f"{d}/word_clips.parquet"
     schema = spark.read.parquet(path).select("clip_id", "source_clip", "split").schema
     stream = incremental.stream_manifest(spark, path, schema)

@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CUTS: list[tuple[SparkSession, str]] = []
+_OWN: dict[str, str] = {}
 
 
 def local_session(cpus: int | str = "*", app: str = "clipwright", shuffle_partitions: int = 8) -> SparkSession:
@@ -32,9 +33,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if given:
         return given.rstrip("/")
-    made = tempfile.mkdtemp(prefix="clipwright-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _OWN:
+        _OWN[app] = tempfile.mkdtemp(prefix="clipwright-")
+    return _OWN[app]
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, swept when Python exits."""
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _CUTS.append((spark, path))
+    return path
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -50,9 +59,8 @@ def cut(df: DataFrame) -> DataFrame:
     outlive any executor. Release one early with :func:`release`; the rest goes when Python exits.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/cut-{uuid.uuid4().hex}"
+    path = scratch(spark, "cut")
     df.write.parquet(path)
-    _CUTS.append((spark, path))
     back = spark.read.schema(df.schema).parquet(path)
     back._cut_path = path
     return back

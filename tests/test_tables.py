@@ -268,3 +268,17 @@ def test_stream_resumes_without_duplicates(spark, tmp_path):
     # Rows whose marker is missing are skipped.
     spark.createDataFrame([(9, "s9")], "id int, source string").write.parquet(f"{root}/rows/batch=99")
     assert sinks.read_committed(spark, root, "rows", "marker", "source").count() == 3
+
+
+def test_shared_folder(tmp_path):
+    from types import SimpleNamespace
+
+    from clipwright.session import checkpoint_root
+
+    def session(value):
+        conf = SimpleNamespace(get=lambda k, d=None: value)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(applicationId=f"app-{tmp_path}", getConf=lambda: conf))
+
+    assert checkpoint_root(session("file:///shared/")) == "file:///shared"
+    own = checkpoint_root(session(None))
+    assert own == checkpoint_root(session(None)) and "clipwright-" in own
