@@ -3,6 +3,9 @@
 Garbled sequences are computed once for every pair of a wrong decoder and a character written in
 UTF-8 (and for text garbled twice), joined in one multi-pattern automaton, and only the spans it
 matches are replaced: correct text in the same document, look-alikes of garble included, stays.
+Text written in a Turkish code page of one byte and read with a decoder of another script or of
+symbols is found by words that mix such a character with ASCII letters, and restored in the run of
+characters around them that the decoder can yield (look-alikes of problem 4 may stand between).
 Single letters that a Turkish code page yields when read as a Western one (þ for ş) are letters of
 other languages too, so they count only where the document's other letters are Turkish.
 
@@ -17,6 +20,7 @@ Repeated rows are judged each; extra columns pass through.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from functools import cache
 from typing import NamedTuple
@@ -26,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..session import spread
+from .plainform import ALIKE_ALWAYS, ALIKE_IN_WORD, INVISIBLE, SPACES, compatibility, composed_alike
 
 #: Decoders that text written in UTF-8 was wrongly read with; the first that explains a sequence wins.
 WRONG_DECODERS = ("cp1252", "latin-1", "cp1254", "mac_roman", "cp850", "cp437", "cp857", "cp1250", "iso8859_2", "cp1251", "cp1253")
@@ -36,7 +41,14 @@ TARGETS = ((0x00A0, 0x0250), (0x0251, 0x0262), (0x02B0, 0x0370), (0x0370, 0x0530
 SINGLE = {"þ": "ş", "ý": "ı", "ð": "ğ", "Þ": "Ş", "Ý": "İ", "Ð": "Ğ", "ţ": "ş", "đ": "ğ", "Ţ": "Ş", "Đ": "Ğ"}
 # Letters that speak for Turkish, and for the languages that own the letters above.
 TURKISH, OTHERS = re.compile("[ışğİŞĞçÇüÜ]"), re.compile("[áíóúæÁÍÓÚÆăĂșȘțȚčćžšČĆŽŠ]")
+_NO_SINGLE = str.maketrans(dict.fromkeys(SINGLE))
 LOST = "�"
+_ASCII_LETTER = re.compile("[A-Za-zＡ-Ｚａ-ｚ]")  # of full width too
+#: Code pages of one byte that Turkish text was written in.
+TURKISH_PAGES = ("cp1254", "iso8859_9", "cp857", "mac_turkish")
+#: Decoders that show a Windows page as Latin letters: SINGLE holds what they yield.
+LATIN_DECODERS = ("cp1252", "latin-1", "cp1254", "cp1250", "iso8859_2")
+TURKISH_LETTERS = "çğıöşüÇĞİÖŞÜâîûÂÎÛ"
 
 
 class Garble(NamedTuple):
@@ -46,9 +58,9 @@ class Garble(NamedTuple):
     decoder: str
 
 
-def _misread(text: str, decoder: str) -> str:
+def _read(data: bytes, decoder: str) -> str:
     out = []
-    for b in text.encode("utf-8"):
+    for b in data:
         try:
             out.append(bytes([b]).decode(decoder))
         except UnicodeDecodeError:
@@ -56,6 +68,10 @@ def _misread(text: str, decoder: str) -> str:
     return "".join(out)
 
 
+def _misread(text: str, decoder: str) -> str:
+    return _read(text.encode("utf-8"), decoder)
+
+
 @cache
 def garbled_sequences() -> dict[str, Garble]:
     """Every garbled sequence with what it was."""
@@ -90,12 +106,105 @@ def automaton():
     a = ahocorasick.Automaton()
     for g, what in garbled_sequences().items():
         a.add_word(g, (len(g), what.original, what.weight, what.decoder))
-    for g, c in SINGLE.items():
-        a.add_word(g, (1, c, -1, ""))
     a.make_automaton()
     return a
 
 
+class Page(NamedTuple):
+    #: What the page's letters came out as, and the letters; those the decoder shows rightly stand for themselves.
+    letters: dict[str, str]
+    #: Of those, the characters that stand in no correct word of Latin letters.
+    sure: frozenset[str]
+    #: A sure character in a word with an ASCII letter; a run of what the decoder can yield; a word of letters and garbled letters.
+    any_sure: re.Pattern
+    run: re.Pattern
+    word: re.Pattern
+    windows: bool
+
+
+@cache
+def _alike() -> dict[str, str]:
+    one, more = compatibility()
+    return {**one, **more, **ALIKE_ALWAYS, **ALIKE_IN_WORD, **composed_alike()}
+
+
+def _is_sure(c: str) -> bool:
+    """Whether a character beside Latin letters is neither a Latin letter nor drawn like one nor ordinary punctuation."""
+    alike = _alike().get(c, "")
+    if c in INVISIBLE or c in SPACES or alike.isascii() and alike or alike in TURKISH_LETTERS and alike:
+        return False
+    if c.isalpha():
+        return ord(c) >= 0x250
+    return unicodedata.category(c) in ("So", "Sm", "Sk", "Cc", "Co") and unicodedata.normalize("NFKC", c) == c
+
+
+@cache
+def turkish_pages() -> tuple[tuple[Page, ...], re.Pattern]:
+    """Every pair of a Turkish code page and a wrong decoder that yields sure characters, and a pattern of all of those."""
+    cls = lambda cs: "[" + re.escape("".join(sorted(cs))) + "]"
+    latin = _ASCII_LETTER.pattern
+    out: dict[tuple, Page] = {}
+    for page in TURKISH_PAGES:
+        for decoder in WRONG_DECODERS:
+            if page in ("cp1254", "iso8859_9") and decoder in LATIN_DECODERS:
+                continue
+            pairs = {_read(bytes([b]), decoder): c for b in range(0x80, 0x100) if (c := _read(bytes([b]), page)).isalpha() and ord(c) < 0x250}
+            letters = {g: c for g, c in pairs.items() if c in TURKISH_LETTERS or _is_sure(g)}
+            sure = frozenset(g for g, c in letters.items() if c in TURKISH_LETTERS and c != g and _is_sure(g))
+            if sure:
+                word = re.compile(f"(?:[^\\W\\d_]|{cls(letters)})+")
+                run = {*_read(bytes(range(256)), decoder), *INVISIBLE, *(c for c in _alike() if ord(c) >= 0x250)}
+                p = Page(letters, sure, re.compile(f"{latin}{cls(letters)}*{cls(sure)}|{cls(sure)}{cls(letters)}*{latin}"), re.compile(f"{cls(run)}+"), word, page in ("cp1254", "iso8859_9"))
+                out.setdefault((decoder, *((c, g) for g, c in letters.items() if c in TURKISH_LETTERS)), p)
+    return tuple(out.values()), re.compile(cls({c for p in out.values() for c in p.sure}))
+
+
+def _page_parts(text: str, page: Page) -> tuple[tuple[int, int], list[tuple[int, int, str]]]:
+    """How many words speak for this page and how many letters it explains, and the letters to replace."""
+    score, parts = 0, []
+    for run in page.run.finditer(text):
+        if not page.any_sure.search(run[0]):
+            continue
+        whole = lambda m: not text[max(0, m.start() - 1) : m.start()].isalpha() and not text[m.end() : m.end() + 1].isalpha()
+        words = [m for m in page.word.finditer(text, *run.span()) if not m[0].isascii() and whole(m)]
+        mixed = [m for m in words if _ASCII_LETTER.search(m[0])]
+        known = [m for m in mixed if all(c.isascii() or c in page.letters or c in _alike() for c in m[0])]
+        others = sum(1 for m in mixed if any(c.isalpha() and ord(c) >= 0x250 and c not in page.letters and c not in _alike() for c in m[0]))
+        marks = spoken = 0
+        for m in known:
+            w = m[0]
+            if len(_ASCII_LETTER.findall(w)) < 2 or not page.any_sure.search(w):
+                continue
+            if any(c in page.sure and c.isalpha() for c in w):
+                spoken += 1
+            elif any(c in page.sure for c in w[1:-1]):
+                marks += 1
+        # One symbol between letters may be anything; two words with one are no chance.
+        if not spoken and marks < 2 or others >= spoken + marks:
+            continue
+        if not page.windows and len({c for m in known for c in m[0] if c in page.sure}) < 2:
+            continue
+        score += spoken + marks
+        # A word without an ASCII letter (üç): the other alphabet has hardly one of these letters alone.
+        bare = [m for m in words if not _ASCII_LETTER.search(m[0]) and all(page.letters.get(c, "?") in TURKISH_LETTERS[:12] for c in m[0])]
+        parts += [(m.start() + k, m.start() + k + 1, page.letters[c]) for m in known + bare for k, c in enumerate(m[0]) if page.letters.get(c, c) != c]
+    return (score, len(parts)), sorted(parts)
+
+
+def _from_pages(text: str) -> tuple[str, int]:
+    """Text with what was written in a Turkish code page restored, and the letters replaced."""
+    pages, any_sure = turkish_pages()
+    spans = 0
+    while any_sure.search(text):
+        chars = set(text)
+        score, parts = max((_page_parts(text, p) for p in pages if not p.sure.isdisjoint(chars) and p.any_sure.search(text)), key=lambda x: x[0], default=((0, 0), []))
+        if not score[0]:
+            break
+        text = _replaced(text, parts)
+        spans += len(parts)
+    return text, spans
+
+
 def _replaced(text: str, parts: list[tuple[int, int, str]]) -> str:
     out, at = [], 0
     for s, e, c in parts:
@@ -116,19 +225,20 @@ def repair(text: str | None, depth: int = 3) -> tuple[str | None, int, bool]:
             break
         is_sure = [w == 2 or (w == 1 and text[e : e + 1].isalpha()) for _, e, _, w, _ in found]
         decoders = {x[4] for x, y in zip(found, is_sure) if y}
-        parts = [(s, e, c) for (s, e, c, w, how), y in zip(found, is_sure) if y or (w >= 0 and how in decoders)]
-        # A pair of letters that was no garble may still hold a single one.
-        taken = {s for s, _, _ in parts}
-        singles = [(i, i + 1, SINGLE[text[i]]) for s, e, *_ in found if s not in taken for i in range(s, e) if text[i] in SINGLE]
-        if singles:
-            rest = _replaced(text, parts)
-            if len(TURKISH.findall(rest)) > len(OTHERS.findall(rest)):
-                parts = sorted(parts + singles)
-        did = len(parts)
-        if not did:
+        parts = [(s, e, c) for (s, e, c, w, how), y in zip(found, is_sure) if y or how in decoders]
+        if not parts:
             break
         text = _replaced(text, parts)
-        spans += did
+        spans += len(parts)
+    # Letters that other scripts share with the Latin decoders are read last: þ is ş of one page, ç of another.
+    text, more = _from_pages(text)
+    spans += more
+    singles = [(i, i + 1, SINGLE[c]) for i, c in enumerate(text) if c in SINGLE]
+    if singles:
+        rest = text.translate(_NO_SINGLE)
+        if len(TURKISH.findall(rest)) > len(OTHERS.findall(rest)):
+            text = _replaced(text, singles)
+            spans += len(singles)
     return text, spans + lost, not lost
 
 

@@ -45,3 +45,23 @@ def test_lost_characters(spark):
 def test_long():
     n = 20_000
     assert repair("Ã§ok " * n)[:2] == ("çok " * n, n)
+
+
+@pytest.mark.parametrize("page", ["cp1254", "iso8859_9"])
+@pytest.mark.parametrize("wrong", ["cp1251", "cp1253", "mac_roman", "cp437", "cp850", "cp857"])
+def test_turkish_page_in_another_script(page, wrong):
+    t = "Önce Lohudatmıştı, üç gün vişıfıda peşrilfi; çok güzel öyküler sığdırdı, İyi Şeyler Ağır"
+    g = "".join(bytes([b]).decode(wrong, errors="ignore") or chr(b) for b in t.encode(page))
+    assert repair(g)[0] == t and repair(g)[1] > 0 and repair(g)[2]
+    part = "Doğru yazı bu, рara değişti. " + g + " Şimdi yine doğru, ıрak."
+    assert repair(part)[0] == part.replace(g, t)
+
+
+def test_page_beside_real_words_and_alikes():
+    assert repair("цnce ьз двигун gьｎ νьрinin, şimdi двигун рara")[0] == "önce üç двигун güｎ νüğinin, şimdi двигун рara"
+    assert repair("ruЂ Уló byhС haЂbe")[1] == 0
+
+
+@pytest.mark.parametrize("text", ["двигун эра Цена", "Ramu'уа рara ьir", "юзер-friendly ve Эхо", "2πr, πx ve Φ", "a÷b", "■Madde bir ▄ iki", "июлька'da Цнcе", "5²x ve m³te"])
+def test_other_scripts_stay(text):
+    assert repair(text) == (text, 0, True)
