@@ -5,9 +5,10 @@ the speaker-channel graph, found by minimum-label propagation. Units are then gi
 that every split gets its share of rows with the label distribution of the whole:
 
 * units with at least ``LARGE`` of all rows (at most 1/LARGE of them, by arithmetic) are placed one
-  by one, largest first, where they raise the deviation from the targets least;
-* the rest are placed inside (dominant label, hash block) groups by running share, each group
-  filling what the large units left open. No task sees more than a block.
+  by one, largest first, where they raise the deviation from the targets least, in size and over
+  every label. Their label counts enter as a matrix of what each two of them share, summed in Spark;
+* the rest are placed inside hash blocks in order of their dominant label, a few dozen units at a
+  time by running share, filling what the large units left open. No task sees more than a block.
 
 Defined results
   null, empty speaker        -> tied by its channel only; with neither, the clip is a unit of its own
@@ -19,6 +20,10 @@ Defined results
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,7 +32,11 @@ from ..operators.graph import bipartite_components
 from ..session import cut
 
 SPLITS = {"train": 0.8, "val": 0.1, "test": 0.1}
-LARGE, BLOCK, LABELS = 0.001, 20_000, 32
+LARGE, BLOCK = 0.001, 20_000
+#: Small units in one running share.
+ROUND = 32
+#: Labels multiplied at once.
+CHUNK = 1024
 
 
 def tie_edges(words: DataFrame) -> DataFrame:
@@ -40,24 +49,54 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return units.join(tied, "unit", "left_semi").select("speaker_id", F.col("unit").alias("unit_id"))
 
 
-def _place_large(units: list, totals: dict[str, int], targets: dict[str, float]) -> dict[str, str]:
-    """Greedy placement, largest unit first; ``units`` holds (unit, size, {label: n})."""
-    have = {s: {"": 0} for s in targets}
-    n = sum(totals.values())
+def _products(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    """Over the labels of a partition, the sum of count x count / total for each two of ``n`` units."""
+    g = np.zeros((n, n))
+    for batch in batches:
+        for at in range(0, batch.num_rows, CHUNK):
+            part = batch.slice(at, CHUNK)
+            h, total = part.column(0), part.column(1).to_numpy(zero_copy_only=False)
+            rows = np.repeat(np.arange(part.num_rows), h.value_lengths().to_numpy(zero_copy_only=False))
+            flat = h.flatten()
+            x = np.zeros((part.num_rows, n))
+            x[rows, flat.field(0).to_numpy(zero_copy_only=False)] = flat.field(1).to_numpy(zero_copy_only=False)
+            x /= np.sqrt(total)[:, None]
+            g += x.T @ x
+    i, j = np.nonzero(np.triu(g))
+    for at in range(0, len(i), 1 << 16):
+        k = slice(at, at + (1 << 16))
+        yield pa.RecordBatch.from_arrays([pa.array(i[k], pa.int32()), pa.array(j[k], pa.int32()), pa.array(g[i[k], j[k]])], names=["i", "j", "g"])
+
+
+def _overlap(hist: DataFrame, units: DataFrame, n: int) -> np.ndarray:
+    """For each two of the ``n`` units (unit, i), the sum over all labels of the product of their counts by the label's total."""
+    mine = hist.join(F.broadcast(units), "unit").groupBy("label").agg(F.collect_list(F.struct("i", F.col("c").cast("double").alias("c"))).alias("h"))
+    totals = hist.groupBy("label").agg(F.sum("c").cast("double").alias("total"))
+    part = mine.join(totals, "label").select("h", "total").mapInArrow(lambda it: _products(it, n), "i int, j int, g double")
+    got = part.groupBy("i", "j").agg(F.sum("g").alias("g")).toArrow()
+    g = np.zeros((n, n))
+    i, j = got["i"].to_numpy(), got["j"].to_numpy()
+    g[i, j] = g[j, i] = got["g"].to_numpy()
+    return g
+
+
+def _place_large(units: list, overlap: np.ndarray, n: int, targets: dict[str, float]) -> dict[str, str]:
+    """Greedy placement, largest unit first; ``units`` holds (unit, size, its place in ``overlap``), ``n`` is the number of all rows."""
+    have = dict.fromkeys(targets, 0)
+    shared = {s: np.zeros(len(units)) for s in targets}
     placed = {}
-    for unit, size, labels in sorted(units, key=lambda u: (-u[1], u[0])):
+    for unit, size, i in sorted(units, key=lambda u: (-u[1], u[0])):
 
-        def cost(split: str, size=size, labels=labels) -> float:
+        def cost(split: str, size=size, i=i) -> float:
             # The change of the squared distance from the targets, over all rows and over each label by its weight.
             h, t = have[split], targets[split]
-            change = lambda had, more, whole: ((had + more) / whole - t) ** 2 - (had / whole - t) ** 2
-            return change(h[""], size, n) + sum(change(h.get(k, 0), c, max(1, totals[k])) * totals[k] / n for k, c in labels.items() if k)
+            whole = ((h + size) / n - t) ** 2 - (h / n - t) ** 2
+            return round(whole + (2 * shared[split][i] + overlap[i, i] - 2 * t * size) / n, 12)
 
         best = min(targets, key=lambda s: (cost(s), s))
         placed[unit] = best
-        have[best][""] += size
-        for k, c in labels.items():
-            have[best][k] = have[best].get(k, 0) + c
+        have[best] += size
+        shared[best] += overlap[i]
     return placed
 
 
@@ -65,16 +104,14 @@ def assign(rows: DataFrame, unit: str, label: str, targets: dict[str, float] | N
     """(unit, rows, split): whole units per split, near the target shares in size and in label distribution."""
     targets = targets or SPLITS
     spark = rows.sparkSession
-    freq = rows.groupBy(F.col(label).alias("label")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").limit(LABELS)
-    counts = rows.groupBy(F.col(unit).alias("unit"), F.col(label).alias("label")).agg(F.count("*").alias("c"))
-    named = counts.join(F.broadcast(freq.select("label", F.lit(True).alias("top"))), "label", "left").withColumn("label", F.when(F.col("top"), F.col("label")).otherwise(F.lit("")))
-    hist = cut(named.groupBy("unit", "label").agg(F.sum("c").alias("c")))
+    hist = cut(rows.groupBy(F.col(unit).alias("unit"), F.coalesce(F.col(label).cast("string"), F.lit("")).alias("label")).agg(F.count("*").alias("c")))
     sizes = cut(hist.groupBy("unit").agg(F.sum("c").alias("size"), F.max_by("label", F.struct("c", "label")).alias("main")))
     total = sizes.agg(F.sum("size")).first()[0] or 0
     is_large = F.col("size") >= max(1.0, total * large)
-    big_rows = hist.join(sizes.where(is_large), "unit").groupBy("unit", "size").agg(F.map_from_entries(F.collect_list(F.struct("label", "c"))).alias("h")).collect() if total else []
-    totals = {r["label"]: r["n"] for r in hist.groupBy("label").agg(F.sum("c").alias("n")).collect()}
-    placed = _place_large([(r["unit"], r["size"], r["h"]) for r in big_rows], totals, targets)
+    big_rows = sizes.where(is_large).select("unit", "size").collect() if total else []
+    at = spark.createDataFrame([(r["unit"], i) for i, r in enumerate(big_rows)], "unit string, i int")
+    overlap = _overlap(hist, at, len(big_rows)) if big_rows else None
+    placed = _place_large([(r["unit"], r["size"], i) for i, r in enumerate(big_rows)], overlap, total, targets)
     taken = {s: sum(r["size"] for r in big_rows if placed[r["unit"]] == s) for s in targets}
     open_share = {s: max(0.0, targets[s] * total - taken[s]) for s in targets}
     left = sum(open_share.values()) or 1.0
@@ -82,9 +119,11 @@ def assign(rows: DataFrame, unit: str, label: str, targets: dict[str, float] | N
     small = sizes.where(~is_large)
     blocks = max(1, -(-small.count() // BLOCK))
     small = small.withColumn("block", F.pmod(F.xxhash64("unit"), F.lit(blocks)))
-    w = Window.partitionBy("main", "block")
-    run = w.orderBy(F.md5("unit"), "unit").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    small = small.withColumn("at", (F.sum("size").over(run) - F.col("size") / 2) / F.sum("size").over(w))
+    w = Window.partitionBy("block")
+    run = w.orderBy("main", F.md5("unit"), "unit").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # A block is cut into whole rounds of equal rows, so that neighbours in label share each round out.
+    rounds = F.greatest(F.lit(1), F.floor(F.count("*").over(w) / ROUND))
+    small = small.withColumn("at", (F.sum("size").over(run) - F.col("size") / 2) / F.sum("size").over(w) * rounds).withColumn("at", F.col("at") - F.floor("at"))
     choice, edge = None, 0.0
     order = sorted(targets, key=lambda s: (targets[s], s))
     for s in order[:-1]:

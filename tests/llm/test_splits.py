@@ -23,6 +23,27 @@ def test_split_is_whole_and_near_targets(spark):
         assert abs(share["train"] - 0.8) < 0.03 and abs(share["val"] - 0.1) < 0.03 and abs(share["test"] - 0.1) < 0.03 and len(a) == 700
 
 
+def test_every_label_counts(spark):
+    import numpy as np
+
+    data = [(f"u{i:03d}", f"l{(i * 7 + j * j) % 150}") for i in range(100) for j in range(60 + i)]
+    df = spark.createDataFrame(data, "unit string, label string")
+    a = s.assign(df, "unit", "label").toPandas()
+    share = a.groupby("split")["rows"].sum() / len(data)
+    assert abs(share["train"] - 0.8) < 0.02 and abs(share["val"] - 0.1) < 0.02 and abs(share["test"] - 0.1) < 0.02
+    x = np.zeros((100, 150))
+    for u, k in data:
+        x[int(u[1:]), int(k[1:])] += 1
+    hist = df.groupBy("unit", "label").agg(s.F.count("*").alias("c"))
+    at = spark.createDataFrame([(f"u{i:03d}", i) for i in range(100)], "unit string, i int")
+    assert np.allclose(s._overlap(hist, at, 100), (x / np.maximum(x.sum(0), 1)) @ x.T)
+    # Units of two halves of rare labels: no half may go to one split whole.
+    two = spark.createDataFrame([(f"{i:02d}{h}", f"{h}{j}") for h in "ab" for i in range(40) for j in range(100)], "unit string, label string")
+    got = s.assign(two, "unit", "label").toPandas()
+    by = got.groupby([got.unit.str[2], "split"])["rows"].sum().unstack(fill_value=0) / 4000
+    assert (abs(by["train"] - 0.8) < 0.06).all() and (abs(by["val"] - 0.1) < 0.06).all() and (abs(by["test"] - 0.1) < 0.06).all()
+
+
 def distance(a, b):
     prev = list(range(len(b) + 1))
     for i, p in enumerate(a, 1):
