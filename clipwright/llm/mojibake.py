@@ -7,7 +7,9 @@ Text written in a Turkish code page of one byte and read with a decoder of anoth
 symbols is found by words that mix such a character with ASCII letters, and restored in the run of
 characters around them that the decoder can yield (look-alikes of problem 4 may stand between).
 Single letters that a Turkish code page yields when read as a Western one (þ for ş) are letters of
-other languages too, so they count only where the document's other letters are Turkish.
+other languages too, so each sentence is judged by its other letters and common words, by those of
+its neighbours where it has none, then by the document's; where nothing speaks for another language,
+two such letters are garble.
 
 Defined results
   null or empty text       -> not affected, restored text is the text itself
@@ -40,8 +42,13 @@ TARGETS = ((0x00A0, 0x0250), (0x0251, 0x0262), (0x02B0, 0x0370), (0x0370, 0x0530
 # Letters of the Turkish code page as the Western and the Central European one show them.
 SINGLE = {"þ": "ş", "ý": "ı", "ð": "ğ", "Þ": "Ş", "Ý": "İ", "Ð": "Ğ", "ţ": "ş", "đ": "ğ", "Ţ": "Ş", "Đ": "Ğ"}
 # Letters that speak for Turkish, and for the languages that own the letters above.
-TURKISH, OTHERS = re.compile("[ışğİŞĞçÇüÜ]"), re.compile("[áíóúæÁÍÓÚÆăĂșȘțȚčćžšČĆŽŠ]")
-_NO_SINGLE = str.maketrans(dict.fromkeys(SINGLE))
+TURKISH, OTHERS = re.compile("[ışğİŞĞçÇüÜ]"), re.compile("[áíóúæøåÁÍÓÚÆØÅăĂșȘțȚčćžšČĆŽŠěřůňĚŘŮŇ]")
+# Common words of Turkish, and of the languages that own the single letters, that the other side lacks.
+TURKISH_WORDS = re.compile(r"\b(?:ve|bir|bu|ile|ama|gibi|olarak|sonra|daha|kadar|yok)\b", re.I)
+OTHER_WORDS = re.compile(r"\b(?:að|það|við|með|eða|og|þar|þau|þeim|þess|þetta|þegar|þeir|þeirra|þessi|þannig|verið|aðeins|među|također|într|că|şi)\b", re.I)
+_SINGLE = re.compile(f"[{''.join(SINGLE)}]")
+_SENTENCE = re.compile(r"[^.!?…\n]*[.!?…\n]+|[^.!?…\n]+")
+_LETTERS = re.compile(r"[^\W\d_]+")
 LOST = "�"
 _ASCII_LETTER = re.compile("[A-Za-zＡ-Ｚａ-ｚ]")  # of full width too
 #: Code pages of one byte that Turkish text was written in.
@@ -213,6 +220,34 @@ def _replaced(text: str, parts: list[tuple[int, int, str]]) -> str:
     return "".join([*out, text[at:]])
 
 
+def _votes(sentence: str) -> tuple[int, int]:
+    """How many letters and common words speak for Turkish, and for another language."""
+    return len(TURKISH.findall(sentence)) + len(TURKISH_WORDS.findall(sentence)), len(OTHERS.findall(sentence)) + len(OTHER_WORDS.findall(sentence))
+
+
+def _single_parts(text: str) -> list[tuple[int, int, str]]:
+    """The single letters to replace: those of words without foreign letters in sentences that are Turkish."""
+    if not _SINGLE.search(text):
+        return []
+    sentences = list(_SENTENCE.finditer(text))
+    votes = [_votes(m[0]) for m in sentences]
+    whole = tuple(map(sum, zip(*votes)))
+    parts, unsure = [], []
+    for k, m in enumerate(sentences):
+        if not _SINGLE.search(m[0]):
+            continue
+        near = tuple(map(sum, zip(*votes[max(0, k - 1) : k + 2])))
+        turkish, other = next((v for v in (votes[k], near, whole) if v[0] != v[1]), (0, 0))
+        if turkish < other:
+            continue
+        found = [(w.start() + i, w.start() + i + 1, SINGLE[c]) for w in _LETTERS.finditer(text, *m.span()) if len(w[0]) > 1 and not OTHERS.search(w[0]) for i, c in enumerate(w[0]) if c in SINGLE]
+        if turkish > other:
+            parts += found
+        elif whole == (0, 0):
+            unsure += found
+    return parts + unsure if len(unsure) > 1 else parts
+
+
 def repair(text: str | None, depth: int = 3) -> tuple[str | None, int, bool]:
     """The restored text, the number of garbled spans, and whether all of it could be restored."""
     if not text or text.isascii():
@@ -233,13 +268,8 @@ def repair(text: str | None, depth: int = 3) -> tuple[str | None, int, bool]:
     # Letters that other scripts share with the Latin decoders are read last: þ is ş of one page, ç of another.
     text, more = _from_pages(text)
     spans += more
-    singles = [(i, i + 1, SINGLE[c]) for i, c in enumerate(text) if c in SINGLE]
-    if singles:
-        rest = text.translate(_NO_SINGLE)
-        if len(TURKISH.findall(rest)) > len(OTHERS.findall(rest)):
-            text = _replaced(text, singles)
-            spans += len(singles)
-    return text, spans + lost, not lost
+    singles = _single_parts(text)
+    return _replaced(text, singles), spans + len(singles) + lost, not lost
 
 
 def _restore(batches: Iterator[pa.RecordBatch], text: str, keep: list[str], schema: pa.Schema, only_affected: bool, with_text: bool) -> Iterator[pa.RecordBatch]:

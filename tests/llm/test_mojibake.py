@@ -65,3 +65,12 @@ def test_page_beside_real_words_and_alikes():
 @pytest.mark.parametrize("text", ["двигун эра Цена", "Ramu'уа рara ьir", "юзер-friendly ve Эхо", "2πr, πx ve Φ", "a÷b", "■Madde bir ▄ iki", "июлька'da Цнcе", "5²x ve m³te"])
 def test_other_scripts_stay(text):
     assert repair(text) == (text, 0, True)
+
+
+def test_single_letters_by_sentence():
+    assert repair("Yorumlarýnýzý aþaðýya yazabilirsiniz.") == ("Yorumlarınızı aşağıya yazabilirsiniz.", 6, True)
+    ice = "Það er þýðing á íslensku, kökur og mjólk úr sveitinni. Hann sagði það. "
+    assert repair(ice * 5 + "Gördüðün ýþýk çok þaþýrtýcý. " + ice)[0] == ice * 5 + "Gördüğün ışık çok şaşırtıcı. " + ice
+    assert repair("Kapý açýk. " + ice)[0] == "Kapı açık. " + ice
+    for stays in (ice, "Hann sagði það.", "Þingvellir is a park.", "Među nama, vođa čeka."):
+        assert repair(stays) == (stays, 0, True)
