@@ -97,9 +97,11 @@ def plain_sql(source: str = "batch", value: str = "v") -> str:
     word = {**ALIKE_IN_WORD, **composed_alike()}
     first = f"translate(translate({value}, {_q(INVISIBLE)}, ''), {_q(''.join(usual))}, {_q(''.join(usual.values()))})"
     s = f"translate(_s, {_q(''.join(one))}, {_q(''.join(one.values()))})"
-    ligatures = {k: v for k, v in more.items() if 0xFB00 <= ord(k) < 0xFB10 or 0x2116 <= ord(k) < 0x2180 or 0x01C4 <= ord(k) < 0x0200}
-    for k, v in ligatures.items():
-        s = f"replace({s}, {_q(k)}, {_q(v)})"
+    longer = "".join(more)
+    keys, values = (f"[{', '.join(map(_q, x))}]" for x in (more, more.values()))
+    # Each character with a longer form is looked up, in values that hold one only.
+    each = f"lambda t: coalesce(list_extract({values}, list_position({keys}, t)), t)"
+    s = f"CASE WHEN regexp_matches(_s, '[{longer}]') THEN array_to_string(list_transform(regexp_extract_all({s}, '[{longer}]|[^{longer}]+'), {each}), '') ELSE {s} END"
     foreign = "\\p{Cyrillic}\\p{Greek}\\p{Armenian}"
     a, b = _q("".join(word)), _q("".join(word.values()))
     # A token is a run of letters and marks of a word; a word is what white space bounds.

@@ -50,3 +50,12 @@ def test_latest_row_decides(spark, tmp_path):
     w = [dict(clip_id="a", surface_form="ｖｅ", appended_at=at(1)), dict(clip_id="a", surface_form="ve", appended_at=at(2)), dict(clip_id="b", surface_form="ｖｅ", appended_at=at(1)), dict(clip_id="b", surface_form="ｖｅ", appended_at=at(1)), dict(clip_id="c", surface_form="ｖｅ")]
     d = write_all(spark, tmp_path / "t", word_clips=w, sentence_clips=[dict(clip_id="s", text="bir şey", appended_at=at(1))])
     assert rows(p.p4_found(spark, d)) == [("sentence_clips", "s"), ("word_clips", "b"), ("word_clips", "c")]
+
+
+def test_every_longer_form(spark):
+    more = p.compatibility()[1]
+    given = [*more, *(f"bir\n{k}ki {k}" for k in "ĳ㎏⑴⒈ﬁǆ"), "".join(more)]
+    df = spark.createDataFrame([(g,) for g in given], "v string")
+    got = {r["v"]: (r["plain"], r["strange"]) for r in p.with_plain_form(df, "v").collect()}
+    assert got == {g: (p.plain_text(g), True) for g in given}
+    assert got["㎏"][0] == "kg" and got["ĳ"][0] == "ij" and got["⑴"][0] == "(1)" and got["⒈"][0] == "1."
