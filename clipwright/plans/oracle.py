@@ -263,6 +263,12 @@ SQL: dict[str, str] = {
         d AS (SELECT v.label, f, list_distance(v.x, coalesce(a.x, list_transform(v.x, lambda y: 0.0::DOUBLE))) AS dist FROM v CROSS JOIN o LEFT JOIN v a ON a.label = v.label AND a.i = v.i + f),
         m AS (SELECT label, f, avg(dist) AS m, count(*) AS n FROM d GROUP BY ALL)
         SELECT label, CASE WHEN max(n) > 5 THEN -arg_min(f, m)::INT END AS "offset", round(min(m), 4) AS min_dist, round(quantile_cont(m, 0.5) - min(m), 4) AS confidence FROM m GROUP BY label""",
+    "offset_distances_whole": """WITH v AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS i, embedding::DOUBLE[] AS x FROM embeddings), o AS (SELECT unnest(range(-15, 16)) AS "offset")
+        SELECT v.label, v.i, o."offset"::INT AS "offset", round(list_distance(list_transform(v.x, lambda y: y + 1e-6), coalesce(a.x, list_transform(v.x, lambda y: 0.0::DOUBLE))), 4) AS dist FROM v CROSS JOIN o LEFT JOIN v a ON a.label = v.label AND a.i = v.i + o."offset" """,
+    "best_offsets_whole": """WITH v AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS i, embedding::DOUBLE[] AS x FROM embeddings), o AS (SELECT unnest(range(-15, 16)) AS f),
+        d AS (SELECT v.label, f, list_distance(list_transform(v.x, lambda y: y + 1e-6), coalesce(a.x, list_transform(v.x, lambda y: 0.0::DOUBLE))) AS dist FROM v CROSS JOIN o LEFT JOIN v a ON a.label = v.label AND a.i = v.i + f),
+        m AS (SELECT label, f, avg(dist) AS m, count(*) AS n FROM d GROUP BY ALL)
+        SELECT label, CASE WHEN max(n) > 30 THEN -arg_min(f, m)::INT END AS "offset", CASE WHEN max(n) > 30 THEN round(min(m), 4) END AS min_dist, CASE WHEN max(n) > 30 THEN round(quantile_cont(m, 0.5) - min(m), 4) END AS confidence FROM m GROUP BY label""",
     "video_ids": f"WITH {URL.replace('@SOURCE', 'reporter_clips')} SELECT {_ID.format('source_url')} AS video_id, url, count(*) AS n FROM urls GROUP BY 1, 2",
     "time_forms": f"""WITH {R} SELECT clip_file, printf('%02d:%02d:%02d', ceil(end_sec)::BIGINT // 3600, ceil(end_sec)::BIGINT % 3600 // 60, ceil(end_sec)::BIGINT % 60) AS hms,
         CASE WHEN start_sec = floor(start_sec) THEN printf('%d', start_sec::BIGINT) ELSE printf('%.2f', start_sec) END AS sec, ceil(end_sec) AS parsed, round_even(start_sec * 25, 0)::INT AS frame FROM r""",

@@ -525,6 +525,19 @@ def best_offsets(spark: SparkSession, d: str) -> DataFrame:
     return b.select("label", "offset", F.round("min_dist", 4).alias("min_dist"), F.round("confidence", 4).alias("confidence"))
 
 
+def offset_distances_whole(spark: SparkSession, d: str) -> DataFrame:
+    """The search with the operator's own reach."""
+    v = cut(_vectors(spark, d))
+    return sync.offset_distances(v, v, ["label"], "i", "v").select("label", "i", "offset", F.round("dist", 4).alias("dist"))
+
+
+def best_offsets_whole(spark: SparkSession, d: str) -> DataFrame:
+    """The search with the operator's own reach and least number of frames."""
+    v = cut(_vectors(spark, d))
+    b = sync.best_offset(sync.offset_distances(v, v, ["label"], "i", "v"), ["label"])
+    return b.select("label", "offset", F.round("min_dist", 4).alias("min_dist"), F.round("confidence", 4).alias("confidence"))
+
+
 # --- scalar families, items ------------------------------------------------------------------------------
 
 
@@ -623,7 +636,7 @@ _NAMES = (
     spread_counts, jumps, smoothed, padded_windows, pauses, last_session, change_points, chunk_tiles, sessions, hourly_counts, streamed_words, queue_selection, greedy_overlap, merged_speakers,
     merge_counts, zero_clip_rows, stable_order, budget_stop, channel_enrichment, height_classes, pending_sources, committed_rows, journal_replay, orphan_files, segment_validation, kappa,
     confusion, verified_items, corrected_truth, release_words, confidence_histogram, height_quantiles, split_shares, rollup_total, distributions, pair_counts, speaker_stats, index_percentiles,
-    threshold_sweep, shortest_per_reporter, progress_counts, components, split_search, offset_distances, best_offsets, video_ids, time_forms, span_frames, media_names, item_names, json_props,
+    threshold_sweep, shortest_per_reporter, progress_counts, components, split_search, offset_distances, best_offsets, offset_distances_whole, best_offsets_whole, video_ids, time_forms, span_frames, media_names, item_names, json_props,
     box_shifts, suffix_join, word_gates, sentence_gates, clip_gates, transcript_slice, pause_split, donor_clips, speaker_sets,
 )
 
