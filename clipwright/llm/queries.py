@@ -22,6 +22,7 @@ def queries() -> dict:
         "p6_terms": frequency.p6_terms,
         "p8_containers": packing.p8_containers,
         "p9_found": leakage.p9_found,
+        "p9_near": leakage.p9_near,
         "p9_items": leakage.p9_items,
         "p10_found": mojibake.p10_found,
         "p10_restored": mojibake.p10_restored,

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from clipwright.llm import leakage as k
 from tests.conftest import rows
 
@@ -55,3 +57,75 @@ def test_lost_characters_still_match(spark):
     lost = "".join(c if c.isascii() else "�" * len(c.encode()) for c in t)
     d = spark.createDataFrame([(1, "önce " + lost + " sonra"), (2, t.replace("bana", "sana"))], "doc_id bigint, text string")
     assert rows(k.leaks(d, p)) == [(1, 1)]
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j - 1] + (x != y), last[j] + 1, row[-1] + 1))
+    return row[-1]
+
+
+def edited(r, words, n, v):
+    w = list(words)
+    for _ in range(n):
+        at = r.randrange(len(w))
+        kind = r.choice("rid")
+        if kind == "r":
+            w[at] = r.choice(v)
+        elif kind == "i":
+            w.insert(at, r.choice(v))
+        else:
+            del w[at]
+    return w
+
+
+def planted(r, v, size, edits, n=400):
+    items = [(i, [r.choice(v) for _ in range(size)]) for i in range(n)]
+    texts = [[*(r.choice(v) for _ in range(20)), *edited(r, w, edits, v), *(r.choice(v) for _ in range(20))] for _, w in items]
+    return items, texts
+
+
+@pytest.mark.parametrize("size,edits,least", [(10, 0, 1.0), (10, 1, 0.95), (10, 2, 0.9), (5, 1, 0.9), (7, 1, 0.93), (14, 2, 0.97), (43, 8, 0.99)])
+def test_recall_on_planted_edits(size, edits, least):
+    r, v = random.Random(size * 10 + edits), vocabulary(3000)
+    items, texts = planted(r, v, size, edits)
+    found = {(x, o): e for x, o, e, _, _ in k.PassageIndex([(i, " ".join(w)) for i, w in items]).search(texts)}
+    assert sum((i, i) in found for i, _ in items) >= least * len(items)
+    # Nothing is reported that is not there: some stretch of the text is as near as said.
+    for (x, o), e in list(found.items())[:10]:
+        t, w = texts[x], items[o][1]
+        n = min(10, len(w))
+        least = min(distance(w[q : q + n], t[p : p + m]) for q in range(len(w) - n + 1) for p in range(len(t)) for m in range(n - k.allowed(n), n + k.allowed(n) + 1))
+        assert least <= e <= k.allowed(n)
+
+
+def test_edits_words_and_whole():
+    r, v = random.Random(3), vocabulary(2000)
+    w = [r.choice(v) for _ in range(30)]
+    changed = [*w[:9], "bambaska", *w[10:]]
+    texts = [w, changed, ["bir", "iki", *w[5:17], "son"], w[:9], []]
+    got = {x: (e, n, whole) for x, _, e, n, whole in k.PassageIndex([(7, " ".join(w))]).search(texts)}
+    assert got[0] == (0, 30, 0) and got[1] == (0, 30, 1) and got[2][0] == 0 and 12 <= got[2][1] <= 16 and got[2][2] is None and got[3][0] == 1 and 4 not in got
+    fourteen = w[:14]
+    near = {x: (e, whole) for x, _, e, _, whole in k.PassageIndex([(1, " ".join(fourteen))]).search([[*fourteen[:9], "baska", *fourteen[10:]], [*fourteen[:7], fourteen[7] + "x", *fourteen[8:]]])}
+    assert near == {0: (1, 1), 1: (1, 1)}
+
+
+def test_index_is_small():
+    import pickle
+
+    r, v = random.Random(5), vocabulary(3000)
+    index = k.PassageIndex([(i, " ".join(r.choice(v) for _ in range(51))) for i in range(240)])
+    assert len(pickle.dumps(index)) < 5_000_000
+
+
+def test_near_in_blocks(spark):
+    r, v = random.Random(12), vocabulary(2000)
+    items, texts = planted(r, v, 12, 2, 60)
+    p = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id bigint, text string")
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id bigint, text string")
+    once = rows(k.near_passages(d, p))
+    assert once == rows(k.near_passages(d, p, block_words=100)) and len(once) >= 57
