@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_CUTS: list[tuple[SparkSession, str]] = []
+_CUTS: dict[str, SparkSession] = {}
 _OWN: dict[str, str] = {}
 
 
@@ -29,10 +29,16 @@ def local_session(cpus: int | str = "*", app: str = "clipwright", shuffle_partit
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session, a temporary one only where it is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir`` of the session.
+
+    Where it is unset, a temporary one on a local master; on a cluster every executor would write to its own disk and
+    what is read back would be partial, so there it is an error.
+    """
     given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if given:
         return given.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         _OWN[app] = tempfile.mkdtemp(prefix="clipwright-")
@@ -42,7 +48,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, swept when Python exits."""
     path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
-    _CUTS.append((spark, path))
+    _CUTS[path] = spark
     return path
 
 
@@ -70,19 +76,29 @@ def release(df: DataFrame) -> None:
     """Delete the files behind a frame made by :func:`cut`; nothing may read it afterwards."""
     path = getattr(df, "_cut_path", None)
     if path:
-        p, fs = _hadoop_path(df.sparkSession, path)
-        fs.delete(p, True)
+        _delete(df.sparkSession, path)
         df._cut_path = None
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p, fs = _hadoop_path(spark, path)
+    fs.delete(p, True)
+    _CUTS.pop(path, None)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Delete every intermediate table of a session, once the results that read them are written; a long session calls it between jobs."""
+    for path in [p for p, s in _CUTS.items() if s.sparkContext is spark.sparkContext]:
+        _delete(spark, path)
+
+
 @atexit.register
 def _sweep() -> None:
-    for spark, path in _CUTS:
+    for path, spark in list(_CUTS.items()):
         try:
-            p, fs = _hadoop_path(spark, path)
-            fs.delete(p, True)
-        except Exception:  # the session is already gone
-            return
+            _delete(spark, path)
+        except Exception:  # that session is gone; others may not be
+            continue
 
 
 def spread(scan: DataFrame) -> DataFrame:
