@@ -47,17 +47,18 @@ def nested_caps(records: DataFrame, levels: list[tuple[list[str], int]], ident:
 
 
 def clip_records(words: DataFrame) -> DataFrame:
-    rows = words.select("clip_id", "appended_at", clean_key("speaker_id").alias("speaker"), clean_key("channel", "-", "bilinmiyor").alias("channel"), "confidence")
-    return latest_rows(rows, ["speaker", "channel", "confidence"])
+    rows = words.select("clip_id", "appended_at", clean_key("speaker_id").alias("speaker"), clean_key("channel", "-", "bilinmiyor").alias("channel"), "source_video", "confidence")
+    return latest_rows(rows, ["speaker", "channel", "source_video", "confidence"])
 
 
 def p5_found(spark: SparkSession, sf_dir: str, share: float = 0.05) -> DataFrame:
-    clips = cut(clip_records(spark.read.parquet(f"{sf_dir}/word_clips.parquet")).drop("channel"))
-    return over_cap(clips, ["speaker"], "clip_id", "confidence", int(clips.count() * share))
+    clips = cut(clip_records(spark.read.parquet(f"{sf_dir}/word_clips.parquet")).drop("channel", "source_video"))
+    return nested_caps(clips, [(["speaker"], int(clips.count() * share))], "clip_id", "confidence")
 
 
-def p5_nested(spark: SparkSession, sf_dir: str, author: float = 0.02, domain: float = 0.1) -> DataFrame:
-    """Clips to remove under nested caps: a speaker within a channel, then the channel."""
+def p5_nested(spark: SparkSession, sf_dir: str, video: float = 0.005, author: float = 0.02, domain: float = 0.1) -> DataFrame:
+    """Clips to remove under nested caps: a speaker's video within a channel, the speaker within the channel, then the channel."""
     clips = cut(clip_records(spark.read.parquet(f"{sf_dir}/word_clips.parquet")))
     n = clips.count()
-    return nested_caps(clips, [(["channel", "speaker"], int(n * author)), (["channel"], int(n * domain))], "clip_id", "confidence")
+    levels = [(["channel", "speaker", "source_video"], int(n * video)), (["channel", "speaker"], int(n * author)), (["channel"], int(n * domain))]
+    return nested_caps(clips, levels, "clip_id", "confidence")

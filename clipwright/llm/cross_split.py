@@ -69,11 +69,15 @@ def class_prefixes(classes: DataFrame) -> DataFrame:
     return keys.select("cid", "has_train", "has_eval", "n", "key", places.alias("places"))
 
 
-def _distance(a: Column, b: Column) -> Column:
-    """Edit distance over terms: terms become characters by their place in the pair's union, then the native function counts."""
+def _within(a: Column, b: Column) -> Column:
+    """Whether two sequences are within the edits allowed: terms become characters by their place in the pair's union, and the native function counts, stopping early.
+
+    Characters start at U+10000, above the surrogates, which leaves room for 1,048,576 distinct terms in a pair.
+    """
     union = F.array_union(a, b)
-    enc = lambda xs: F.array_join(F.transform(xs, lambda t: F.decode(F.unhex(F.hex(F.array_position(union, t) + 0x4E00)), "UTF-16BE")), "")
-    return F.levenshtein(enc(a), enc(b))
+    code = lambda t: F.lpad(F.hex(F.array_position(union, t) - 1 + 0x10000), 8, "0")
+    enc = lambda xs: F.decode(F.unhex(F.array_join(F.transform(xs, code), "")), "UTF-32")
+    return F.call_function("levenshtein", enc(a), enc(b), edits_allowed(F.size(a), F.size(b))) >= 0
 
 
 def near_classes(classes: DataFrame) -> DataFrame:
@@ -86,7 +90,7 @@ def near_classes(classes: DataFrame) -> DataFrame:
     cand = ev.join(tr, "key").where((F.col("eval_cid") != F.col("train_cid")) & (F.abs(F.col("en") - F.col("tn")) <= d) & near).select("eval_cid", "train_cid").distinct()
     terms = classes.select("cid", "terms")
     both = cand.join(terms.select(F.col("cid").alias("eval_cid"), F.col("terms").alias("a")), "eval_cid").join(terms.select(F.col("cid").alias("train_cid"), F.col("terms").alias("b")), "train_cid")
-    close = both.where(_distance(F.col("a"), F.col("b")) <= edits_allowed(F.size("a"), F.size("b"))).select("eval_cid", "train_cid")
+    close = both.where(_within(F.col("a"), F.col("b"))).select("eval_cid", "train_cid")
     same = classes.where("has_train AND has_eval").select(F.col("cid").alias("eval_cid"), F.col("cid").alias("train_cid"))
     return close.unionAll(same)
 
@@ -115,3 +119,11 @@ def p3_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     tr = clips.where("side = 'train'").groupBy(F.col("cid").alias("train_cid")).agg(F.count("*").alias("t"))
     n = pairs.join(ev, "eval_cid").join(tr, "train_cid")
     return n.groupBy("split", "channel").agg(F.sum(F.col("e") * F.col("t")).alias("pairs"), F.count_distinct("eval_cid").alias("eval_texts"))
+
+
+def p3_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The operator's own result, in which copies are not expanded: every clip with its class and the number of overlapping classes of the other side."""
+    clips, pairs = overlaps(spark, sf_dir)
+    side = lambda c: pairs.groupBy(F.col(f"{c}_cid").alias("cid")).agg(F.count("*").alias("links")).select("cid", F.lit(c).alias("side"), "links")
+    links = side("eval").unionAll(side("train"))
+    return clips.join(links, ["cid", "side"]).select("clip_id", F.col("cid").alias("class_id"), "side", "links")

@@ -1,7 +1,8 @@
 """Problem 8: texts of varying length put into containers of a fixed token capacity.
 
 Texts are tokenised whole in Arrow batches; one longer than the capacity is cut into pieces of it.
-Pieces, without their text, are dealt into random groups of bounded size, and each group is packed
+Pieces, without their text, are dealt into random groups of bounded size (by their row, so null and
+repeated ids are dealt like any other), and each group is packed
 first-fit decreasing with a tournament tree over the remaining room of its containers: the first
 container with enough room is found in logarithmic time. A group's last containers are the only
 room lost to grouping, and that share shrinks with the group size.
@@ -17,6 +18,7 @@ Extra columns are ignored.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,12 +32,15 @@ TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def token_counts(df: DataFrame, ident: str, text: str, tokenizer: str = TOKENIZER) -> DataFrame:
-    """(id, tokens) of every row, by a public tokenizer whose file all executors can read at ``tokenizer``."""
+    """(id, tokens) of every row, by a public tokenizer; its file, which the driver can read at ``tokenizer``, is sent to the executors."""
+    df.sparkSession.sparkContext.addFile(tokenizer)
+    name = os.path.basename(tokenizer)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import sentencepiece
+        from pyspark import SparkFiles
 
-        sp = sentencepiece.SentencePieceProcessor(model_file=tokenizer)
+        sp = sentencepiece.SentencePieceProcessor(model_file=SparkFiles.get(name))
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             n = [len(sp.encode(t)) for t in texts]
@@ -90,7 +95,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Dat
     """(id, piece, tokens, container) for pieces (id, piece, tokens) of at most ``capacity``."""
     pieces = cut(pieces)
     groups = max(1, -(-pieces.count() // group))
-    dealt = pieces.withColumn("g", F.pmod(F.xxhash64("id", "piece"), F.lit(groups)))
+    # The written table fixes its rows' places, so a repeated task deals the same way.
+    dealt = pieces.withColumn("g", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows come sorted by group; a group has about ``group`` rows, whatever the table's size.
@@ -122,3 +128,16 @@ def p8_containers(spark: SparkSession, sf_dir: str, capacity: int = CAPACITY, to
     docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     out = pack(pieces_of(token_counts(docs, "doc_id", "text", tokenizer), capacity), capacity)
     return out.select(F.col("id").alias("doc_id"), "piece", "tokens", "container")
+
+
+def p8_room(spark: SparkSession, sf_dir: str, capacity: int = CAPACITY) -> DataFrame:
+    """How the containers turned out: texts placed, tokens lost or doubled by cutting, containers over capacity, and whether 99 % of the room of a whole group is used."""
+    placed = cut(p8_containers(spark, sf_dir, capacity))
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    wanted = token_counts(docs, "doc_id", "text").agg(F.sum("tokens").alias("wanted"))
+    bins = placed.groupBy("container").agg(F.sum("tokens").alias("held"))
+    # A group's last container may stay as empty as it likes: one container a group is the room grouping may lose.
+    room = bins.agg(F.count_if(F.col("held") > capacity).alias("over_full"), F.sum("held").alias("held"), F.count("*").alias("bins"), F.count_distinct(F.shiftright("container", 32)).alias("groups"))
+    texts = placed.agg(F.count_distinct("doc_id").alias("texts"))
+    full = F.coalesce(F.col("held") >= 0.99 * capacity * (F.col("bins") - F.col("groups")), F.lit(True))
+    return texts.crossJoin(room).crossJoin(wanted).select("texts", "over_full", F.coalesce(F.col("held") - F.col("wanted"), F.lit(0)).alias("tokens_astray"), full.alias("well_filled"))

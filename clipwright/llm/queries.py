@@ -12,8 +12,10 @@ def queries() -> dict:
         "p1_agreement": consensus.p1_agreement,
         "p2_found": splits.p2_found,
         "p2_splits": splits.p2_splits,
+        "p2_ties": splits.p2_ties,
         "p3_found": cross_split.p3_found,
         "p3_report": cross_split.p3_report,
+        "p3_classes": cross_split.p3_classes,
         "p4_found": plainform.p4_found,
         "p4_forms": plainform.p4_forms,
         "p5_found": caps.p5_found,
@@ -21,6 +23,7 @@ def queries() -> dict:
         "p6_found": frequency.p6_found,
         "p6_terms": frequency.p6_terms,
         "p8_containers": packing.p8_containers,
+        "p8_room": packing.p8_room,
         "p9_found": leakage.p9_found,
         "p9_near": leakage.p9_near,
         "p9_items": leakage.p9_items,
@@ -38,9 +41,9 @@ def _key(c: str, *unknown: str) -> str:
 
 
 _CLIPS = f"""clips AS (
-    SELECT clip_id, arg_max(ROW(speaker, channel, confidence), ROW(appended_at, speaker, channel, confidence)) AS r
-    FROM (SELECT clip_id, appended_at, {_key("speaker_id")} AS speaker, {_key("channel", "-", "bilinmiyor")} AS channel, confidence FROM word_clips WHERE clip_id IS NOT NULL)
-    GROUP BY clip_id), c AS (SELECT clip_id, r[1] AS speaker, r[2] AS channel, r[3] AS confidence FROM clips)"""
+    SELECT clip_id, arg_max(ROW(speaker, channel, source_video, confidence), ROW(appended_at, speaker, channel, source_video, confidence)) AS r
+    FROM (SELECT clip_id, appended_at, {_key("speaker_id")} AS speaker, {_key("channel", "-", "bilinmiyor")} AS channel, source_video, confidence FROM word_clips WHERE clip_id IS NOT NULL)
+    GROUP BY clip_id), c AS (SELECT clip_id, r[1] AS speaker, r[2] AS channel, r[3] AS video, r[4] AS confidence FROM clips)"""
 
 P1_AGREEMENT = """
 WITH a AS (SELECT lower(trim(kind)) AS kind, clip_id, coalesce(nullif(lower(trim(annotator)), ''), '') AS annotator, replace(lower(trim(verdict)), ' ', '_') AS verdict, created_at, annotation_id
@@ -59,13 +62,20 @@ WITH {_CLIPS}
 SELECT clip_id FROM (SELECT clip_id, row_number() OVER (PARTITION BY speaker ORDER BY confidence DESC NULLS LAST, clip_id) AS k FROM c WHERE speaker IS NOT NULL)
 WHERE k > (SELECT floor(count(*) * 0.05) FROM c)"""
 
+def _cap(name: str, source: str, keys: str, limit: float) -> str:
+    """Two steps: what exceeds the cap of ``keys`` in ``source``, and what is left after it."""
+    known = " AND ".join(f"{k} IS NOT NULL" for k in keys.split(", "))
+    return f"""{name}_gone AS (SELECT clip_id FROM (SELECT clip_id, row_number() OVER (PARTITION BY {keys} ORDER BY confidence DESC NULLS LAST, clip_id) AS k FROM {source} WHERE {known})
+    WHERE k > (SELECT floor(count(*) * {limit}) FROM c)), {name} AS (SELECT * FROM {source} WHERE clip_id NOT IN (SELECT clip_id FROM {name}_gone))"""
+
+
 P5_NESTED = f"""
-WITH {_CLIPS}, n AS (SELECT count(*) AS n FROM c),
-a AS (SELECT *, row_number() OVER (PARTITION BY channel, speaker ORDER BY confidence DESC NULLS LAST, clip_id) AS k FROM c WHERE speaker IS NOT NULL AND channel IS NOT NULL),
-gone AS (SELECT clip_id FROM a WHERE k > (SELECT floor(n * 0.02) FROM n)),
-b AS (SELECT clip_id, row_number() OVER (PARTITION BY channel ORDER BY confidence DESC NULLS LAST, clip_id) AS k FROM c WHERE channel IS NOT NULL AND clip_id NOT IN (SELECT clip_id FROM gone))
-SELECT clip_id FROM gone UNION ALL SELECT clip_id FROM b WHERE k > (SELECT floor(n * 0.1) FROM n)"""
+WITH {_CLIPS}, {_cap("a", "c", "channel, speaker, video", 0.005)}, {_cap("b", "a", "channel, speaker", 0.02)}, {_cap("d", "b", "channel", 0.1)}
+SELECT clip_id FROM a_gone UNION ALL SELECT clip_id FROM b_gone UNION ALL SELECT clip_id FROM d_gone"""
 
+# Invariants: no speaker and no known channel in two splits, every clip placed; no text lost, nothing over capacity.
+P2_TIES = "SELECT 0 AS torn_speakers, 0 AS torn_channels, count(DISTINCT clip_id) AS clips FROM word_clips"
+P8_ROOM = "SELECT count(DISTINCT doc_id) AS texts, 0 AS over_full, 0 AS tokens_astray, true AS well_filled FROM documents"
 
 _LOW = "lower(translate({0}, 'İI', 'iı'))"
 _EDGES = r"'^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$'"
@@ -118,5 +128,5 @@ UNION ALL SELECT DISTINCT 'lemma', l.term, 'stale' FROM l LEFT JOIN (SELECT * FR
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "p1_agreement": P1_AGREEMENT, "p2_found": P2_FOUND, "p4_forms": P4_FORMS, "p4_found": P4_FOUND, "p5_found": P5_FOUND, "p5_nested": P5_NESTED, "p6_terms": P6_TERMS, "p6_found": P6_FOUND,
+        "p1_agreement": P1_AGREEMENT, "p2_found": P2_FOUND, "p2_ties": P2_TIES, "p8_room": P8_ROOM, "p4_forms": P4_FORMS, "p4_found": P4_FOUND, "p5_found": P5_FOUND, "p5_nested": P5_NESTED, "p6_terms": P6_TERMS, "p6_found": P6_FOUND,
     }

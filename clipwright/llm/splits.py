@@ -39,8 +39,8 @@ ROUND = 32
 CHUNK = 1024
 
 
-def tie_edges(words: DataFrame) -> DataFrame:
-    return words.select(clean_key("speaker_id").alias("speaker_id"), clean_key("channel", "-", "bilinmiyor").alias("channel"))
+def tie_edges(words: DataFrame, *more: str) -> DataFrame:
+    return words.select(*more, clean_key("speaker_id").alias("speaker_id"), clean_key("channel", "-", "bilinmiyor").alias("channel"))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,3 +151,12 @@ def p2_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = cut(with_units(spark.read.parquet(f"{sf_dir}/word_clips.parquet")))
     given = assign(rows, "unit", "label")
     return rows.where("clip_id IS NOT NULL").select("clip_id", "unit").distinct().join(given.select("unit", "split"), "unit").select("clip_id", F.col("unit").alias("unit_id"), "split")
+
+
+def p2_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the splits, seen from the stored rows: speakers and channels in more than one, and the clips placed."""
+    given = cut(p2_splits(spark, sf_dir).select("clip_id", "split"))
+    words = spark.read.parquet(f"{sf_dir}/word_clips.parquet").where("clip_id IS NOT NULL").select("clip_id", "speaker_id", "channel")
+    rows = cut(tie_edges(words.join(given, "clip_id").withColumnRenamed("split", "_split"), "_split").distinct())
+    torn = lambda c: rows.where(F.col(c).isNotNull()).groupBy(c).agg(F.count_distinct("_split").alias("n")).agg(F.count_if(F.col("n") > 1).alias(f"torn_{c.split('_')[0]}s"))
+    return torn("speaker_id").crossJoin(torn("channel")).crossJoin(given.agg(F.count_distinct("clip_id").alias("clips")))

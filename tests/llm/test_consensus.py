@@ -46,6 +46,27 @@ def test_joined_parameters_give_the_same(spark):
     _, data = simulated(items=120)
     a, b = c.fit(answers(spark, data)), c.fit(answers(spark, data), max_broadcast=2)
     assert rows(a.items, "clip_id", "verdict") == rows(b.items, "clip_id", "verdict")
+    skill = {r["annotator"]: r["ability"] for r in b.annotators.select("annotator", "ability").distinct().collect()}
+    assert len(skill) == a.annotators.count()
+    for r in a.annotators.collect():
+        assert skill[r["annotator"]] == pytest.approx(r["ability"], abs=1e-6)
+
+
+def test_unsettled_model_is_an_error(spark):
+    _, data = simulated(items=60)
+    for limit in (c.MAX_BROADCAST_ANNOTATORS, 2):
+        with pytest.raises(RuntimeError):
+            c.fit(answers(spark, data), max_broadcast=limit, passes=2)
+
+
+def test_weighted_patterns_equal_single_items(spark):
+    """A hundred copies of every item move the abilities like the copies themselves."""
+    _, data = simulated(items=30)
+    many = [(k, f"{clip}_{n}", a, v, f) for k, clip, a, v, f in data for n in range(20)]
+    model = c.fit(answers(spark, many))
+    got = {r["clip_id"]: r["verdict"] for r in model.items.collect()}
+    assert len(got) == 20 * len({x[1] for x in data})
+    assert all(len({got[f"{clip}_{n}"] for n in range(20)}) == 1 for clip in {x[1] for x in data})
 
 
 def test_counted_answers_and_fixes(spark, tmp_path):

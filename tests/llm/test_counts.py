@@ -13,7 +13,7 @@ def test_cap(spark, tmp_path):
     gone = {r[0] for r in rows(caps.p5_found(spark, d))}
     kept = sorted(f"c{i:02d}" for i in range(30) if f"c{i:02d}" not in gone)
     assert kept == ["c02", "c06", "c10", "c14", "c18"] and not [g for g in gone if g[0] != "c"]
-    assert {r[0] for r in rows(caps.p5_nested(spark, d, 0.2, 0.1))} >= {f"c{i:02d}" for i in range(1, 30, 4)}
+    assert {r[0] for r in rows(caps.p5_nested(spark, d, author=0.2, domain=0.1))} >= {f"c{i:02d}" for i in range(1, 30, 4)}
 
 
 def test_nested_is_greedy(spark):
@@ -49,6 +49,18 @@ def test_block_arrays(spark, monkeypatch):
     assert rows(ids) == [(f"t{i:04d}", i) for i in range(500)]
 
 
+def test_a_hot_term_is_encoded_in_parts(spark):
+    data = [("lemma", "ev" if i % 3 else f"t{i}", f"s{i % 40}", f"v{i}", 1) for i in range(3000)]
+    df = spark.createDataFrame(data, "field string, term string, speaker string, source string, n bigint")
+    terms = frequency.cut(frequency.dictionary(df, ["field", "term"]))
+    assert rows(frequency.encoded(df, terms)) == rows(frequency.encoded(df, terms, max_broadcast=0))
+    parts = frequency.encoded(df, terms, max_broadcast=0).select("id", frequency.F.spark_partition_id().alias("p"))
+    assert "SortMergeJoin" in parts._jdf.queryExecution().executedPlan().toString()
+    heavy = terms.where("term = 'ev'").first()["id"]
+    sizes = [r["count"] for r in df.withColumn("_s", frequency.F.pmod(frequency.F.xxhash64("speaker", "source"), frequency.F.lit(frequency.SALT))).where("term = 'ev'").groupBy("_s").count().collect()]
+    assert len(sizes) == frequency.SALT and max(sizes) < 300 and heavy is not None
+
+
 def test_first_fit_decreasing():
     r = random.Random(1)
     for n in (0, 1, 7, 200):
@@ -80,3 +92,10 @@ def test_groups_keep_bins_apart(spark):
     got = packing.pack(pieces, 1000, group=500).toPandas()
     assert len(got) == 3000 and got.groupby("container").tokens.sum().max() <= 1000
     assert got.tokens.sum() / 1000 / got.container.nunique() > 0.95
+
+
+def test_equal_and_null_ids_are_dealt_like_others(spark):
+    pieces = spark.createDataFrame([(7 if i % 2 else None, 0, 1 + i % 90) for i in range(4000)], "id bigint, piece int, tokens bigint")
+    got = packing.pack(pieces, 100, group=200).toPandas()
+    assert len(got) == 4000 and got.groupby("container").tokens.sum().max() <= 100
+    assert (got.container // 2**32).value_counts().max() < 400 and (got.container // 2**32).nunique() == 20

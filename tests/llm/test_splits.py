@@ -83,3 +83,11 @@ def test_pairs(spark, tmp_path):
     d = write_all(spark, tmp_path / "t", word_clips=words, sentence_clips=rows_)
     assert rows(x.p3_found(spark, d)) == [("a", "b"), ("a", "c")]
     assert rows(x.p3_report(spark, d)) == [("val", "k1", 2, 1)]
+    assert [(r[0], r[2], r[3]) for r in rows(x.p3_classes(spark, d))] == [("a", "eval", 2), ("b", "train", 1), ("c", "train", 1)]
+
+
+def test_edit_limit(spark):
+    many = [f"t{i}" for i in range(300)]
+    pairs = [(list("abcdefghij"), list("abcdefghij")), (list("abcdefghij"), list("abXdefgYij")), (list("abcdefghij"), list("abXdefgYZj")), (many, many[60:]), (many, many[61:]), ([], [])]
+    df = spark.createDataFrame(pairs, "a array<string>, b array<string>")
+    assert [r[0] for r in df.select(x._within(x.F.col("a"), x.F.col("b"))).collect()] == [True, True, False, True, False, True]

@@ -27,7 +27,11 @@ def nulls(spark, tmp_path_factory):
 
 @pytest.mark.parametrize("name", sorted(q.queries()))
 def test_empty_tables(spark, empty, name):
-    assert q.queries()[name](spark, empty).count() == 0
+    got = q.queries()[name](spark, empty)
+    if name in ("p2_ties", "p8_room"):  # one row of figures
+        assert [tuple(r) for r in got.collect()] == [{"p2_ties": (0, 0, 0), "p8_room": (0, 0, 0, True)}[name]]
+    else:
+        assert got.count() == 0
 
 
 @pytest.mark.parametrize("name", FOUND)
