@@ -74,3 +74,57 @@ def test_single_letters_by_sentence():
     assert repair("Kapý açýk. " + ice)[0] == "Kapı açık. " + ice
     for stays in (ice, "Hann sagði það.", "Þingvellir is a park.", "Među nama, vođa čeka."):
         assert repair(stays) == (stays, 0, True)
+
+
+def misread(text, encoding, wrong):
+    out = []
+    for b in text.encode(encoding):
+        try:
+            out.append(bytes([b]).decode(wrong))
+        except UnicodeDecodeError:
+            out.append(chr(b))
+    return "".join(out)
+
+
+UTF8_PAIRS = ["cp1252", "latin-1", "cp1254", "mac_roman", "cp850", "cp437", "cp857", "cp1250", "iso8859_2", "cp1251", "cp852", "koi8_r", "cp1256", "iso8859_15"]
+
+
+@pytest.mark.parametrize("wrong", UTF8_PAIRS)
+def test_every_pair_with_utf8(wrong):
+    assert repair(misread(TEXT, "utf-8", wrong))[0] == TEXT
+
+
+@pytest.mark.parametrize("text", ["Merhaba 😀 dünya", "Çok iyi 👍🏽 oldu 🎉", "日本語のテキストです", "שלום עולם", "Привет, мир", "مرحبا بالعالم", "안녕하세요 여러분"])
+@pytest.mark.parametrize("wrong", ["cp1252", "latin-1", "cp1254"])
+def test_other_scripts_and_emoji(text, wrong):
+    assert repair(misread(text, "utf-8", wrong))[0] == text
+
+
+def test_garbled_any_number_of_times():
+    for n in range(1, 7):
+        t = TEXT
+        for _ in range(n):
+            t = misread(t, "utf-8", "latin-1")
+        assert repair(t)[0] == TEXT
+
+
+@pytest.mark.parametrize("page,text", [
+    ("cp1251", "Привет мир, как дела сегодня"), ("koi8_r", "Привет мир, как дела сегодня"), ("cp1253", "Καλημέρα κόσμε τι κάνεις σήμερα"),
+    ("cp1255", "שלום עולם מה שלומך היום"), ("cp1256", "مرحبا بالعالم كيف حالك"),
+])
+def test_pages_of_other_alphabets(page, text):
+    got = repair("Önce bu. " + misread(text, page, "latin-1") + ". Sonra şu.")
+    assert got[0] == "Önce bu. " + text + ". Sonra şu." and got[1] > 0
+
+
+@pytest.mark.parametrize("text", [
+    "café™ naïve «été» à « là »", "──│├── dosya", "3×© 2×”", "m³ ve m²", "Þórður Ólafur", "été à où", "Merhaba 😀 dünya", "日本語のテキスト", "ÖÇÜ ÇÜÖ", "À ÉTÉ ÔÉÈ", "“ç”… ‘é’—", "Çüö çğü ıçü",
+])
+def test_what_looks_like_garble_stays(text):
+    assert repair(text) == (text, 0, True)
+
+
+def test_never_worse_beside_unknown_bytes():
+    """Letters beside bytes that no sequence explains are left alone."""
+    t = "Kapý ðŸ açýk ýþýk þaþýrtýcý"
+    assert "ðŸ" in repair(t)[0]
