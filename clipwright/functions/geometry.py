@@ -28,3 +28,14 @@ def bottom_square(x: Column, y: Column, w: Column, h: Column, width: Column, hei
 def distance(a: Column, b: Column, eps: float = 0.0) -> Column:
     """Euclidean distance of two arrays, ``eps`` added to every difference."""
     return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y + F.lit(eps)) * (x - y + F.lit(eps))), F.lit(0.0), lambda s, v: s + v))
+
+
+def largest_first(boxes: Column) -> Column:
+    """Boxes (structs with w and h) by falling area; equal areas keep their order."""
+    keyed = F.transform(boxes, lambda b, i: F.struct((-b["w"] * b["h"]).alias("a"), i.alias("i"), b.alias("b")))
+    return F.transform(F.array_sort(keyed), lambda x: x["b"])
+
+
+def largest(boxes: Column) -> Column:
+    """The box of greatest area, the first of equals; null without any."""
+    return F.get(largest_first(boxes), F.lit(0))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 VOWELS = "aeıioöuüâîû"
 CIRCUMFLEX_FROM, CIRCUMFLEX_TO = "âîûÂÎÛ", "aiuAİU"
 APOSTROPHES = ("'", "’")
-LATIN_EXTRA = "çğıöşüÇĞİÖŞÜâîûÂÎÛ"
+LATIN_EXTRA = "çğıöşüâîûÇĞİÖŞÜÂÎÛéèêëáàäóòôúùñßøåæœ"
 
 
 def _c(c: Column | str) -> Column:
@@ -73,6 +73,25 @@ def trimmed(c: Column | str) -> Column:
     return F.regexp_replace(_c(c), r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
 
 
+def nfc(c: Column | str) -> Column:
+    """Canonical composition. Spark has no function for it; only values with a character beyond ASCII reach Python, in Arrow batches."""
+    import pandas as pd
+
+    @F.pandas_udf("string")
+    def composed(values: pd.Series) -> pd.Series:
+        return values.str.normalize("NFC")
+
+    c = _c(c)
+    odd = F.when(c.rlike(r"[^\x00-\x7F]"), c)
+    return F.coalesce(composed(odd), c)
+
+
+def normalize_text(c: Column | str) -> Column:
+    """Composed, and without white space or separators at both ends; null is empty."""
+    edge = r"[\s\p{Z}\x1C-\x1F\x85]+"
+    return F.coalesce(F.regexp_replace(nfc(c), f"^{edge}|{edge}$", ""), F.lit(""))
+
+
 def clean_key(c: Column | str, *unknown: str) -> Column:
     """An id or name as compared: trimmed, lower case; null, empty and the given words are unknown (null)."""
     k = F.lower(trimmed(c))

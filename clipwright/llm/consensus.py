@@ -7,9 +7,16 @@ computes label posteriors and each item's ease (inner Newton steps, local to the
 the gradient, curvature and error counts per annotator; the abilities then take one Newton step.
 Only sums per annotator leave a partition, never answers.
 
-The abilities are broadcast while there are at most ``MAX_BROADCAST_ANNOTATORS`` of them; beyond
-that they are joined to the answers by annotator instead, with the same result. An item has at most
-one counted answer per annotator, which bounds an item's row.
+Items with the same answers of the same annotators are one weighted row in every pass, so a pass
+grows with the distinct answer patterns, not with the items. Passes go on until no ability moves by
+``TOLERANCE``, with halved steps once they swing; a model that still moves after ``PASSES`` is an error,
+never returned. The abilities (160 bytes an annotator) are broadcast while there are at most
+``MAX_BROADCAST_ANNOTATORS`` of them; beyond that they are joined to the answers by annotator and a
+salt, so that a heavy annotator fills no task, with the same result. An item has at most one counted
+answer per annotator, which bounds an item's row.
+
+Of the two fields of ``p1_found`` the verdict is the model's; the label fix is, as its definition
+asks, the plain vote of those who gave one on items the model calls wrong_word.
 
 Defined results
   cancelled answers, blank or null verdicts   -> not counted
@@ -33,12 +40,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import clean_key, trimmed
-from ..session import cut
+from ..session import cut, release
 from .plainform import term_of, to_plain
 
 VERDICTS = ("correct", "wrong_word", "offscreen", "bad_crop")
-MAX_BROADCAST_ANNOTATORS = 20_000
-PASSES, TOLERANCE, INNER = 25, 0.01, 3
+MAX_BROADCAST_ANNOTATORS, DRIVER_ROWS = 20_000, 100_000
+PASSES, TOLERANCE, INNER = 300, 0.01, 3
+#: Passes after which steps are halved, and parts of a heavy annotator.
+SWING, SALT = 30, 16
 ABILITY_MEAN, ABILITY_VAR, EASE_VAR, ERROR_PRIOR = 1.5, 4.0, 0.1, 0.3
 K = len(VERDICTS)
 
@@ -84,10 +93,10 @@ def estimate(lab: np.ndarray, item: np.ndarray, starts: np.ndarray, ability: np.
     return post, ease, grad, curve, wrong
 
 
-def stepped(ability, grad, curve, errors):
+def stepped(ability, grad, curve, errors, scale: float = 1.0):
     """One Newton step of the abilities, and the error habits from their counts. Arrays [A, K], [A, K], [A, K], [A, K, K]."""
     g = grad - (ability - ABILITY_MEAN) / ABILITY_VAR
-    ability = np.clip(ability + np.clip(g / (curve + 1 / ABILITY_VAR), -2, 2), -6, 8)
+    ability = np.clip(ability + scale * np.clip(g / (curve + 1 / ABILITY_VAR), -2, 2), -6, 8)
     e = errors + ERROR_PRIOR
     e[:, np.arange(K), np.arange(K)] = 1e-9
     return ability, e / e.sum(2, keepdims=True)
@@ -120,14 +129,17 @@ def _sums_pass(batches: Iterator[pa.RecordBatch], ability, error, prior) -> Iter
             continue
         rows, item, starts = _flat(batch)
         who, lab = np.asarray(rows.field("a")), np.asarray(rows.field("l")).astype(np.int64)
+        weight = np.asarray(batch.column("w")).astype(float)
         post, _, grad, curve, wrong = estimate(lab, item, starts, ability[who], error[who], prior)
+        each = weight[item][:, None]
+        grad, curve, wrong = grad * each, curve * each, wrong * each
         for k in range(K):
             total[:, k] += np.bincount(who, grad[:, k], n)
             total[:, K + k] += np.bincount(who, curve[:, k], n)
             cell = np.bincount(who * K + lab, wrong[:, k], n * K).reshape(n, K)
             total[:, 2 * K + k * K : 2 * K + (k + 1) * K] += cell
-        mass[:K] += post.sum(0)
-        mass[K] += len(post)
+        mass[:K] += (post * weight[:, None]).sum(0)
+        mass[K] += weight.sum()
     touched = np.flatnonzero(np.abs(total).sum(1))
     ids = pa.array([-1, *touched.tolist()], pa.int32())
     yield pa.RecordBatch.from_arrays([ids, pa.array([mass.tolist(), *total[touched].tolist()], pa.list_(pa.float64()))], names=["a", "sums"])
@@ -202,56 +214,74 @@ def fit(answers: DataFrame, max_broadcast: int = MAX_BROADCAST_ANNOTATORS, passe
     ids = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "annotator string, a int")
     # One row per item, once; every pass reads it.
     items = cut(votes.join(F.broadcast(ids), "annotator").groupBy("kind", "clip_id").agg(F.array_sort(F.collect_list(F.struct("a", "l"))).alias("answers")))
+    patterns = cut(items.groupBy("answers").agg(F.count("*").alias("w")))
+    few = patterns.rdd.getNumPartitions() * (len(names) + 1) <= DRIVER_ROWS
     ability, error = _fresh(len(names))
     prior = np.full(K, 1 / K)
-    for _ in range(passes if names else 0):
+    for n in range(passes if names else 0):
         args = (ability, error, prior)
-        got = _summed(items.mapInArrow(lambda it, args=args: _sums_pass(it, *args), _SUMS), "a").collect()
-        sums, mass = np.zeros((len(names), 2 * K + K * K)), None
-        for r in got:
-            if r["a"] < 0:
-                mass = np.array(r["sums"][: K + 1])
-            else:
-                sums[r["a"]] = r["sums"]
-        new, error = stepped(ability, *_unpack(sums))
+        part = patterns.mapInArrow(lambda it, args=args: _sums_pass(it, *args), _SUMS)
+        # At most DRIVER_ROWS rows of 24 sums come back: as they are where partitions x annotators is no more, else summed to one an annotator.
+        got = (part if few else _summed(part, "a")).toArrow()
+        who, each = got["a"].to_numpy(), np.stack(got["sums"].to_pylist())
+        sums, mass = np.zeros((len(names), 2 * K + K * K)), each[who < 0].sum(0)[: K + 1]
+        np.add.at(sums, who[who >= 0], each[who >= 0])
+        new, error = stepped(ability, *_unpack(sums), _scale(n))
         prior = (mass[:K] + 1) / (mass[K] + K)
-        moved, ability = np.abs(new - ability).max(), new
+        moved, ability = np.abs(new - ability).max() / _scale(n), new
         if moved < TOLERANCE:
             break
+    else:
+        _unsettled(passes, bool(names))
+    release(patterns)
     args = (ability, error, prior)
     out = items.mapInArrow(lambda it: _posterior_pass(it, *args), _POSTERIOR)
     params = [(n, ability[i].tolist(), error[i].ravel().tolist()) for i, n in enumerate(names)]
     return Consensus(out, spark.createDataFrame(params, "annotator string, ability array<double>, error array<double>"), prior)
 
 
+def _scale(n: int) -> float:
+    return 1.0 if n < SWING else 0.5
+
+
+def _unsettled(passes: int, any_votes: bool) -> None:
+    if any_votes:
+        raise RuntimeError(f"abilities still moving after {passes} passes")
+
+
 def _fit_joined(votes: DataFrame, passes: int) -> Consensus:
     """The way for annotators too many to broadcast: parameters live in a table and are joined to the votes."""
     fresh_a, fresh_e = _fresh(1)
     lit = lambda xs: F.array(*(F.lit(float(x)) for x in xs))
+    # The salt goes by item, so a heavy annotator's answers meet its parameters in SALT places.
+    votes = cut(votes.withColumn("salt", F.pmod(F.xxhash64("kind", "clip_id"), F.lit(SALT)).cast("int")))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt")
     params = cut(votes.select("annotator").distinct().select("annotator", lit(fresh_a[0]).alias("ability"), lit(fresh_e[0].ravel()).alias("error")))
     prior = np.full(K, 1 / K)
 
     def attached() -> DataFrame:
-        return votes.join(params, "annotator").groupBy("kind", "clip_id").agg(F.array_sort(F.collect_list(F.struct("annotator", "l", "ability", "error"))).alias("answers"))
+        return votes.join(params.select("*", salts), ["annotator", "salt"]).groupBy("kind", "clip_id").agg(F.array_sort(F.collect_list(F.struct("annotator", "l", "ability", "error"))).alias("answers"))
 
-    def newton(pdfs):
+    def newton(pdfs, scale):
         for pdf in pdfs:
             if len(pdf):
-                a, e = stepped(np.stack(pdf["ability"].to_list()), *_unpack(np.stack(pdf["sums"].to_list())))
-                moved = np.abs(a - np.stack(pdf["ability"].to_list())).max(1)
+                a, e = stepped(np.stack(pdf["ability"].to_list()), *_unpack(np.stack(pdf["sums"].to_list())), scale)
+                moved = np.abs(a - np.stack(pdf["ability"].to_list())).max(1) / scale
                 yield pdf.assign(ability=list(a), error=list(e.reshape(len(a), -1)), moved=moved)[["annotator", "ability", "error", "moved"]]
 
-    for _ in range(passes):
+    for n in range(passes):
         p = prior
         sums = cut(_summed(attached().mapInArrow(lambda it, p=p: _joined_pass(it, p), "annotator string, sums array<double>"), "annotator"))
         mass = sums.where("annotator IS NULL").collect()
         if not mass:
             break
         prior = (np.array(mass[0]["sums"][:K]) + 1) / (mass[0]["sums"][K] + K)
-        new = cut(params.join(sums, "annotator").mapInPandas(newton, "annotator string, ability array<double>, error array<double>, moved double"))
+        new = cut(params.join(sums, "annotator").mapInPandas(lambda it, n=n: newton(it, _scale(n)), "annotator string, ability array<double>, error array<double>, moved double"))
         params = new.drop("moved")
         if new.agg(F.max("moved")).first()[0] < TOLERANCE:
             break
+    else:
+        _unsettled(passes, True)
     p = prior
     return Consensus(attached().mapInArrow(lambda it: _posterior_pass(it, None, None, p, True), _POSTERIOR), params, prior)
 

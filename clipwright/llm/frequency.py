@@ -2,8 +2,9 @@
 
 A global dictionary gives every distinct (field, term) a dense integer. Encoded rows are accumulated
 into blocks of counters, one numpy array per identifier range, and the arrays of a range are summed.
-A term that makes up a third of all rows is split by the skew join when it is encoded; after that
-its occurrences are counted where they lie and only arrays travel.
+The terms that hold at least ``HEAVY`` of all rows, of which there are at most 1/HEAVY, are encoded by
+a broadcast of theirs alone, so a term that makes up a third of all rows is never shuffled; the others
+meet the dictionary by term. Occurrences are then counted where they lie and only arrays travel.
 
 Defined results
   null or empty value, nothing but punctuation -> no term
@@ -31,17 +32,19 @@ BLOCK = 4096
 #: Blocks a task holds before it hands them on; bounds its memory at 3 * 8 * BLOCK bytes each.
 HELD_BLOCKS = 512
 MEASURES = ("clips", "speakers", "sources")
+#: Share of all rows from which on a term is heavy.
+HEAVY = 0.001
 
 
 def dictionary(terms: DataFrame, columns: list[str]) -> DataFrame:
-    """Distinct rows of ``columns`` with a dense integer ``id`` in their sorted order."""
+    """Distinct rows of ``columns`` with their number ``n`` and a dense integer ``id`` in their sorted order."""
     by = [F.col(c).asc_nulls_first() for c in columns]
-    placed = cut(terms.select(*columns).distinct().repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id()))
+    placed = cut(terms.groupBy(*columns).agg(F.count("*").alias("n")).repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id()))
     part = F.shiftright("_at", 33)
     # One row per partition of the range exchange: as many rows as tasks, so it is broadcast.
     sizes = placed.groupBy(part.alias("_p")).agg(F.count("*").alias("_n"))
     skip = sizes.select(F.col("_p").alias("_q"), F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_skip"))
-    return placed.join(F.broadcast(skip), part == F.col("_q")).select(*columns, (F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("_skip")).alias("id"))
+    return placed.join(F.broadcast(skip), part == F.col("_q")).select(*columns, "n", (F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("_skip")).alias("id"))
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,19 +115,28 @@ def clip_terms(words: DataFrame) -> DataFrame:
     return clips.select(term_of("surface_form").alias("surface_form"), term_of("lemma").alias("lemma"), "speaker", "source")
 
 
+def encoded(rows: DataFrame, terms: DataFrame, heavy: float = HEAVY) -> DataFrame:
+    """Rows with field and term replaced by the dictionary's id."""
+    total = terms.agg(F.sum("n")).first()[0] or 0
+    key, bound = ["field", "term"], max(1, int(total * heavy))
+    top = F.broadcast(terms.where(F.col("n") >= bound).select(*key, "id"))
+    rest = rows.join(top, key, "left_anti").join(terms.where(F.col("n") < bound).select(*key, "id").hint("merge"), key)
+    return rows.join(top, key).unionByName(rest).drop(*key)
+
+
 def term_counts(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The deduplicated clips, and (field, term, clips, speakers, sources) of every distinct term."""
     clips = cut(clip_terms(words))
     pairs = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("term")) for f in ("surface_form", "lemma")))).alias("p")
     long = clips.select("speaker", "source", pairs).select("p.field", "p.term", "speaker", "source").where("term <> ''")
     terms = cut(dictionary(long, ["field", "term"]))
-    # From here on a term is its integer; a heavy term's rows are split by Spark's skew join.
-    rows = cut(long.join(terms, ["field", "term"]).select("id", "speaker", "source"))
+    # From here on a term is its integer.
+    rows = cut(encoded(long, terms).select("id", "speaker", "source"))
     one = F.lit(1).cast("bigint").alias("n")
     speakers = rows.where("speaker IS NOT NULL").select("id", "speaker").distinct().select("id", F.lit(1).alias("kind"), one)
     sources = rows.where("source IS NOT NULL").select("id", "source").distinct().select("id", F.lit(2).alias("kind"), one)
-    encoded = rows.select("id", F.lit(0).alias("kind"), one).unionAll(speakers).unionAll(sources)
-    counts = cut(terms.join(counted(encoded), "id").select("field", "term", *MEASURES))
+    cells = rows.select("id", F.lit(0).alias("kind"), one).unionAll(speakers).unionAll(sources)
+    counts = cut(terms.join(counted(cells), "id").select("field", "term", *MEASURES))
     release(rows)
     release(terms)
     return clips, counts

@@ -132,3 +132,71 @@ def split_sentences(sentences: DataFrame, key: str, words: str = "words") -> Dat
 
     out = sentences.select(F.col(key).alias("k"), F.col(words).alias("w")).mapInPandas(parts, "k string, part int, start_sec double, end_sec double, n_words int, text string")
     return out.withColumnRenamed("k", key)
+
+
+def segment_bounds(start: Column, end: Column, words: Column) -> Column:
+    """struct(start_sec, end_sec) of a segment widened to its first and last word."""
+    first, last = F.get(words, F.lit(0))["start_sec"], F.element_at(words, -1)["end_sec"]
+    some = F.size(words) > 0
+    return F.struct(F.when(some, F.least(start, first)).otherwise(start).alias("start_sec"), F.when(some, F.greatest(end, last)).otherwise(end).alias("end_sec"))
+
+
+def rebased_spans(words: Column, offset_frames: Column, first_frame: Column, fps: int = 25) -> Column:
+    """Spans of words counted from a sentence's first frame, moved by the clip's offset."""
+    by = offset_frames / fps - first_frame / fps
+    at = lambda t: F.round(t + by, 3)
+    return F.transform(words, lambda w: F.struct(w["surface_form"].alias("surface_form"), F.coalesce(F.nullif(w["lemma"], F.lit("")), w["surface_form"]).alias("lemma"), at(w["start_sec"]).alias("start_sec"), at(w["end_sec"]).alias("end_sec")))
+
+
+def sentence_items(sentences: DataFrame, clip: str, n_frames: str, offset: str, lo: float = 1.0, hi: float = 8.0, fps: int = 25) -> DataFrame:
+    """(clip, part, split_index, text, start_sec, end_sec, f0, f1, n_words, word_spans, reason) of sentences with text, start_sec, end_sec and words.
+
+    A sentence is widened to its words and cut at pauses where it is too long; an uncut one keeps its text, a part joins its
+    words. ``reason`` says why a part is no item: its duration, or no frame of the clip.
+    """
+    bounds = segment_bounds(F.col("start_sec"), F.col("end_sec"), F.col("words"))
+    wide = sentences.withColumn("_b", bounds)
+    parts = split_spans(wide.select(clip, F.col("_b.start_sec").alias("_s"), F.col("_b.end_sec").alias("_e"), "words"), clip)
+    out = wide.drop("start_sec", "end_sec").join(parts, clip)
+    f0 = F.bround(F.col("start_sec") * fps).cast("int") + F.col(offset)
+    f1 = F.greatest(F.bround(F.col("end_sec") * fps).cast("int") + F.col(offset), f0 + 1)
+    out = out.withColumn("f0", F.greatest(f0, F.lit(0))).withColumn("f1", F.least(f1, F.col(n_frames)))
+    inside = F.slice("words", F.col("_i") + 1, F.col("_j") - F.col("_i"))
+    many = F.col("_parts") > 1
+    joined = F.array_join(F.transform(inside, lambda w: F.coalesce(w["surface_form"], F.lit(""))), " ")
+    length = F.col("end_sec") - F.col("start_sec")
+    reason = first_reason([("duration", ~length.between(lo, hi)), ("out_of_range", F.col("f0") >= F.col("f1"))])
+    return out.select(
+        clip, "part", F.when(many, F.col("part")).alias("split_index"), F.when(many, joined).otherwise(F.trim("text")).alias("text"), F.round("start_sec", 3).alias("start_sec"),
+        F.round("end_sec", 3).alias("end_sec"), "f0", "f1", F.size(inside).alias("n_words"), F.to_json(rebased_spans(inside, F.col(offset), F.col("f0"), fps)).alias("word_spans"), reason.alias("reason"),
+    )
+
+
+def split_spans(sentences: DataFrame, key: str) -> DataFrame:
+    """(key, part, start_sec, end_sec, _i, _j, _parts) for sentences (key, _s, _e, words): the first part keeps the sentence's start, the last its end."""
+
+    def parts(pdfs: Iterator) -> Iterator:
+        import pandas as pd
+
+        for pdf in pdfs:
+            rows = []
+            for k, s, e, ws in zip(pdf["k"], pdf["_s"], pdf["_e"], pdf["w"]):
+                times = [(w["start_sec"], w["end_sec"]) for w in (ws if ws is not None else [])]
+                if not times:
+                    rows.append((k, 0, s, e, 0, 0, 1))
+                    continue
+                times[0] = (s, times[0][1])
+                times[-1] = (times[-1][0], e)
+                cuts = pause_split(times)
+                rows += [(k, n, times[i][0], times[j - 1][1], i, j, len(cuts)) for n, (i, j) in enumerate(cuts)]
+            yield pd.DataFrame(rows, columns=["k", "part", "start_sec", "end_sec", "_i", "_j", "_parts"])
+
+    kind = sentences.schema[key].dataType.simpleString()
+    out = sentences.select(F.col(key).alias("k"), "_s", "_e", F.col("words").alias("w")).mapInPandas(parts, f"k {kind}, part int, start_sec double, end_sec double, _i int, _j int, _parts int")
+    return out.withColumnRenamed("k", key)
+
+
+def transcript_counts(transcripts: DataFrame, doc: str = "video") -> DataFrame:
+    """(doc, segments, words) of nested transcripts."""
+    n = F.aggregate("segments", F.lit(0), lambda acc, s: acc + F.coalesce(F.size(s["words"]), F.lit(0)))
+    return transcripts.select(doc, F.coalesce(F.size("segments"), F.lit(0)).alias("segments"), F.coalesce(n, F.lit(0)).alias("words"))

@@ -46,3 +46,20 @@ def backfill(words: DataFrame, lemmas: DataFrame, surface: str = "surface_form",
     out = words.join(m, F.col(surface) == F.col("_s"), "left")
     new = F.coalesce("_l", lemma)
     return out.withColumn("changed", ~new.eqNullSafe(F.col(lemma))).withColumn(lemma, new).drop("_s", "_l")
+
+
+def backfill_transcripts(transcripts: DataFrame, lemmas: DataFrame, doc: str = "video") -> DataFrame:
+    """Nested transcripts with lemmas from the map (surface, lemma), and ``changed``: how many words had another one. Running it again changes nothing.
+
+    Words are exploded with their places and put back in order, so the map is joined like any table; a transcript without words stays as it is.
+    """
+    seg = transcripts.select(doc, F.posexplode("segments").alias("_si", "_s"))
+    flat = seg.select(doc, "_si", F.posexplode("_s.words").alias("_wi", "_w")).select(doc, "_si", "_wi", "_w", F.col("_w.surface_form").alias("_f"))
+    m = lemmas.select(F.col("surface").alias("_f"), F.col("lemma").alias("_l"))
+    new = F.coalesce("_l", F.col("_w.lemma"))
+    filled = flat.join(m, "_f", "left").select(doc, "_si", "_wi", F.col("_w").withField("lemma", new).alias("_w"), (~new.eqNullSafe(F.col("_w.lemma"))).cast("int").alias("_x"))
+    words = filled.groupBy(doc, "_si").agg(F.array_sort(F.collect_list(F.struct("_wi", "_w"))).alias("_ws"), F.sum("_x").alias("_x"))
+    segs = words.groupBy(doc).agg(F.map_from_entries(F.collect_list(F.struct("_si", F.transform("_ws", lambda x: x["_w"]).alias("v")))).alias("_m"), F.sum("_x").alias("_x"))
+    out = transcripts.join(segs, doc, "left")
+    put = F.transform("segments", lambda s, i: s.withField("words", F.coalesce(F.get(F.array(F.col("_m")[i]), F.lit(0)), s["words"])))
+    return out.withColumn("segments", F.when(F.col("_m").isNull(), F.col("segments")).otherwise(put)).withColumn("changed", F.coalesce("_x", F.lit(0))).drop("_m", "_x")

@@ -89,3 +89,16 @@ def assert_known(given: list[str], known: DataFrame, column: str) -> None:
     have = {r[0] for r in known.select(column).where(F.col(column).isin(*given)).distinct().collect()} if given else set()
     if missing := sorted(set(given) - have):
         raise QualityError(f"unknown: {missing}")
+
+
+# Endings of files a finished run must not leave.
+TRANSIENT = ("part", "tmp", "ytdl", "temp")
+
+
+def leftovers(listing: DataFrame, path: str = "path", allowed: DataFrame | None = None) -> DataFrame:
+    """Files a finished run should not have left: unfinished ones, and any that are not on the list of those allowed."""
+    bad = F.lower(F.regexp_extract(path, r"\.([A-Za-z0-9]+)$", 1)).isin(*TRANSIENT)
+    if allowed is None:
+        return listing.where(bad)
+    known = allowed.select(F.col(path).alias("_p"), F.lit(True).alias("_ok")).distinct()
+    return listing.join(known, F.col(path) == F.col("_p"), "left").where(bad | F.col("_ok").isNull()).drop("_p", "_ok")

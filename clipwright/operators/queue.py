@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import trimmed
-from ..functions.urls import normalize_url, video_id
+from ..functions.urls import video_id
 
 
 def flag(c: Column | str) -> Column:
@@ -52,12 +52,15 @@ def channel_of(rows: DataFrame, links: DataFrame, url: str = "source_url") -> Da
     return out.join(first, F.col("_vid") == F.col("_id"), "left").withColumn("channel", F.coalesce("channel", F.lit(""))).drop("_vid", "_id")
 
 
-def validate_segments(rows: DataFrame, start: str, end: str) -> DataFrame:
+def validate_segments(rows: DataFrame, start: str, end: str, duration: str | None = None) -> DataFrame:
     """Add ``reason``: why a row's bounds can't be used, null if they can."""
     from ..functions.timing import parse_time
 
     blank = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))) == ""
     s, e = parse_time(start), parse_time(end)
+    if duration is not None:  # a row without bounds is the whole video
+        whole = blank(start) & blank(end) & F.col(duration).isNotNull()
+        s, e = F.when(whole, F.lit(0.0)).otherwise(s), F.when(whole, F.ceil(F.col(duration)).cast("double")).otherwise(e)
     reason = F.when(blank(start) != blank(end), "one_bound_missing").when(~blank(start) & (s.isNull() | e.isNull()), "unparseable").when(~blank(start) & (e <= s), "end_not_after_start")
     return rows.withColumn("start_sec", s).withColumn("end_sec", e).withColumn("reason", reason)
 
@@ -126,8 +129,9 @@ def replay_journal(rows: DataFrame, journal: DataFrame, key: str) -> DataFrame:
 
 def budget_stop(rows: DataFrame, keys: list[str], pos: str, hours: str, most: float) -> DataFrame:
     """Rows taken while the hours of those before stay under the budget."""
-    w = Window.partitionBy(*keys).orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("hours_before", F.coalesce(F.sum(hours).over(w), F.lit(0.0))).where(F.col("hours_before") < most)
+    from .hotkeys import running_totals
+
+    return running_totals(rows, keys, [F.col(pos).asc()], hours, "hours_before").where(F.col("hours_before") < most)
 
 
 def deletion_plan(files: DataFrame, referenced: DataFrame, path: str = "path") -> DataFrame:
@@ -135,5 +139,40 @@ def deletion_plan(files: DataFrame, referenced: DataFrame, path: str = "path") -
     return files.join(referenced.select(path).where(F.col(path).isNotNull()).distinct(), path, "left_anti")
 
 
-def canonical_url(c: str) -> Column:
-    return normalize_url(c)
+def apply_plan(files: DataFrame, plan: DataFrame, path: str = "path", apply: bool = False, most_share: float = 0.1) -> tuple[DataFrame, DataFrame]:
+    """What is left of ``files``, and (planned, share, applied): a plan is applied only when told to, and only up to a share of all files."""
+    gone = plan.select(path).distinct()
+    n = files.agg(F.count("*").alias("_n")).crossJoin(files.join(gone, path, "left_semi").agg(F.count("*").alias("planned")))
+    share = F.when(F.col("_n") > 0, F.col("planned") / F.col("_n")).otherwise(0.0)
+    report = n.select("planned", F.round(share, 6).alias("share"), (F.lit(apply) & (share <= most_share)).alias("applied"))
+    marked = files.join(gone.withColumn("_gone", F.lit(True)), path, "left").crossJoin(F.broadcast(report.select("applied")))
+    return marked.where(F.col("_gone").isNull() | ~F.col("applied")).drop("_gone", "applied"), report
+
+
+def select_pending(queue: DataFrame, done: DataFrame, keys: list[str], limit: int | None = None, **filters) -> DataFrame:
+    """Selected rows that are not done, the limit last."""
+    left = without_done(select_rows(queue, **filters), done, keys)
+    return left.orderBy("row_pos").limit(limit) if limit else left
+
+
+def subset(queue: DataFrame, columns: list[str], limit: int, pos: str = "row_pos") -> DataFrame:
+    """A trial queue: the first rows in file order, none of them completed."""
+    fresh = queue.withColumn("completed", F.lit("")) if "completed" in columns else queue
+    return fresh.orderBy(pos).limit(limit).select(*columns)
+
+
+def media_jobs(items: DataFrame, media: str, existing: DataFrame, path: str = "path") -> DataFrame:
+    """One job per media file that does not exist yet: its first item in order of clip_id."""
+    jobs = items.where(F.col(media).isNotNull()).groupBy(media).agg(F.min("clip_id").alias("clip_id"))
+    return jobs.join(existing.select(F.col(path).alias(media)).distinct(), media, "left_anti")
+
+
+def newest_per_source(listing: DataFrame, source: Column, modified: str = "modified") -> DataFrame:
+    """(source, newest) of a file listing."""
+    return listing.groupBy(source.alias("source")).agg(F.max(modified).alias("newest"))
+
+
+def overlap_report(rows: DataFrame, key: Column, pos: str, start: str, end: str, least: float = 1.0) -> DataFrame:
+    """(url, start, end, n): the intervals that overlap a kept one, with how often each occurs."""
+    folded = greedy_overlap(rows, key, pos, start, end, least).where("NOT kept")
+    return folded.groupBy(key.alias("url"), F.col(start).alias("start"), F.col(end).alias("end")).agg(F.count("*").alias("n"))

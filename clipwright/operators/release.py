@@ -11,10 +11,14 @@ from pyspark.sql import functions as F
 from ..functions.ids import release_path
 from .quality import QualityError
 
+# The columns a release has, in their order.
 WORD_COLUMNS = (
-    "clip_id", "npz_path", "frame_start", "frame_end", "speaker_id", "channel", "source_clip", "clip_start_sec", "clip_end_sec", "n_frames", "fps", "syncnet_score",
-    "mean_yaw", "mean_pitch", "surface_form", "lemma", "word_start_sec", "word_end_sec", "confidence", "split",
+    "clip_id", "label_surface", "label_lemma", "in_vocab_surface", "in_vocab_lemma", "surface_form", "lemma", "word_start_sec", "word_end_sec", "speaker_id", "channel", "split", "npz_path",
+    "frame_start", "frame_end", "n_frames", "fps",
 )
+SENTENCE_COLUMNS = ("clip_id", "text", "word_spans", "speaker_id", "channel", "split", "npz_path", "frame_start", "frame_end", "n_frames", "fps")
+#: Pixels are given as a share of this.
+PIXEL_SCALE = 255.0
 # Suffixes no release may hold.
 MEDIA = ("mp4", "mkv", "webm", "avi", "mov", "wav", "mp3", "m4a", "flac", "jpg", "jpeg", "png", "npz", "npy")
 
@@ -26,6 +30,11 @@ def release_words(words: DataFrame, verified: DataFrame, columns: tuple[str, ...
     return out.select(*columns, F.coalesce(F.col("verified").cast("string"), F.lit("")).alias("verified"), F.coalesce("label_fix", F.lit("")).alias("label_fix"))
 
 
+def release_sentences(sentences: DataFrame, columns: tuple[str, ...] = SENTENCE_COLUMNS) -> DataFrame:
+    """Allow-listed columns of the sentences of val and test, paths relative."""
+    return sentences.where(F.col("split").isin("val", "test")).select(*columns).withColumn("npz_path", release_path("npz_path"))
+
+
 def banned_files(listing: DataFrame, path: str = "path") -> DataFrame:
     return listing.where(F.lower(F.regexp_extract(path, r"\.([A-Za-z0-9]+)$", 1)).isin(*MEDIA))
 
@@ -37,7 +46,7 @@ def assert_no_media(listing: DataFrame, path: str = "path") -> None:
 
 
 def pixel_statistics(spark: SparkSession, folder: str, field: str = "frames", glob: str = "*.npz", keep: DataFrame | None = None) -> DataFrame:
-    """(files, unreadable, n, mean, std) pooled over tensor files: one partial (n, sum, sum of squares) per file, then their sums."""
+    """(files, unreadable, n, mean, std) of pixels as shares of 255, pooled over tensor files: one partial (n, sum, sum of squares) per file, then their sums."""
     import io
 
     def partials(pdfs: Iterator) -> Iterator:
@@ -48,7 +57,7 @@ def pixel_statistics(spark: SparkSession, folder: str, field: str = "frames", gl
             rows = []
             for path, content in zip(pdf["path"], pdf["content"]):
                 try:
-                    x = np.load(io.BytesIO(content))[field].astype(np.float64)
+                    x = np.load(io.BytesIO(content))[field].astype(np.float64) / PIXEL_SCALE
                     rows.append((path, float(x.size), float(x.sum()), float((x * x).sum())))
                 except Exception:
                     rows.append((path, None, None, None))

@@ -9,18 +9,22 @@ from ..functions.ids import hash_rank
 
 
 def _ranked(df: DataFrame, strata: list[str | Column], order: list[Column], name: str) -> DataFrame:
+    """Ranks for a filter on a fixed number: Spark pushes such a limit into the window per task, so a heavy stratum sends a few rows each."""
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*strata).orderBy(*order)))
 
 
-def stratified(df: DataFrame, strata: list[str], key: str, fraction: float, seed: int) -> DataFrame:
-    """bround(fraction * n) rows of every stratum."""
+def stratified(df: DataFrame, strata: list[str], key: str, fraction: float, seed: int, head: int | None = None) -> DataFrame:
+    """bround(fraction * n) rows of every stratum, ranked over many tasks where a stratum is large; of these the first ``head`` of a second shuffle."""
+    from .hotkeys import ranked
+
     n = df.groupBy(*strata).agg(F.count("*").alias("_n"))
     on = None
     for s in strata:
         on = F.col(s).eqNullSafe(F.col(f"_s_{s}")) if on is None else on & F.col(s).eqNullSafe(F.col(f"_s_{s}"))
     sizes = n.select(*(F.col(s).alias(f"_s_{s}") for s in strata), F.bround(F.col("_n") * fraction).alias("_keep"))
-    r = _ranked(df, strata, [hash_rank(seed, key), F.col(key)], "_r").join(sizes, on)
-    return r.where(F.col("_r") <= F.col("_keep")).drop("_r", "_keep", *(f"_s_{s}" for s in strata))
+    r = ranked(df.withColumn("_h", hash_rank(seed, key)), strata, [F.col("_h").asc(), F.col(key).asc()], "_r").drop("_h").join(sizes, on)
+    out = r.where(F.col("_r") <= F.col("_keep")).drop("_r", "_keep", *(f"_s_{s}" for s in strata))
+    return out.orderBy(hash_rank(seed + 1, key), key).limit(head) if head is not None else out
 
 
 def up_to_k(df: DataFrame, groups: list[str], key: str, k: int, seed: int) -> DataFrame:
@@ -48,7 +52,8 @@ def assign_annotators(df: DataFrame, key: str, overlap: float, seed: int, blocks
 
 def round_robin(df: DataFrame, group: str, key: str, n: int, seed: int) -> DataFrame:
     """The first of every group, then the second, and so on, n in all."""
-    return _ranked(df, [group], [hash_rank(seed, key), F.col(key)], "turn").orderBy("turn", group).limit(n)
+    # No group has a turn beyond n in the first n.
+    return _ranked(df, [group], [hash_rank(seed, key), F.col(key)], "turn").where(F.col("turn") <= n).orderBy("turn", group).limit(n)
 
 
 def rank_slice(counts: DataFrame, n: str, name: str, lo: int, hi: int) -> DataFrame:
@@ -62,9 +67,10 @@ def rarest(counts: DataFrame, n: str, name: str, k: int = 5) -> DataFrame:
 
 
 def interleave(df: DataFrame, group: str, minutes: str, pos: str) -> DataFrame:
-    """Order rows so that the groups' accumulated minutes stay level. Adds ``due``, the order's first key."""
-    w = Window.partitionBy(group).orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("due", F.coalesce(F.sum(minutes).over(w), F.lit(0.0)))
+    """Order rows so that the groups' accumulated minutes stay level. Adds ``due``, the order's first key: the minutes of the group's rows before."""
+    from .hotkeys import running_totals
+
+    return running_totals(df, [group], [F.col(pos).asc()], minutes, "due")
 
 
 def train_cap(df: DataFrame, speaker: str, label: str, split: str, key: str, share: float, seed: int) -> DataFrame:
@@ -78,20 +84,26 @@ def train_cap(df: DataFrame, speaker: str, label: str, split: str, key: str, sha
     over = train.groupBy(F.col(speaker).alias("_spk")).agg(F.count("*").alias("_n")).crossJoin(F.broadcast(total)).where(F.col("_n") > F.col("_limit"))
     per = train.join(F.broadcast(over), F.col(speaker) == F.col("_spk")).groupBy("_spk", F.col(label).alias("_lab")).agg(F.bround(F.first("_limit") / F.first("_n") * F.count("*")).alias("_keep"))
     cut = train.join(F.broadcast(over.select("_spk")), F.col(speaker) == F.col("_spk"), "left_semi")
-    r = _ranked(cut, [speaker, label], [hash_rank(seed, key), F.col(key)], "_r")
+    from .hotkeys import ranked
+
+    r = ranked(cut.withColumn("_h", hash_rank(seed, key)), [speaker, label], [F.col("_h").asc(), F.col(key).asc()], "_r").drop("_h")
     gone = r.join(per, (F.col(speaker) == F.col("_spk")) & F.col(label).eqNullSafe(F.col("_lab"))).where(F.col("_r") > F.col("_keep")).select(F.col(key).alias("_gone"))
     return df.join(gone, F.col(key) == F.col("_gone"), "left").withColumn("capped", F.col("_gone").isNotNull()).drop("_gone")
 
 
-def negatives(positives: DataFrame, pool: DataFrame, groups: list[str], key: str, k: int, seed: int) -> DataFrame:
+def negatives(positives: DataFrame, pool: DataFrame, groups: list[str], key: str, k: int, seed: int, wanted: DataFrame | None = None) -> DataFrame:
     """Up to k keys per group from its split's pool that are not positives of the group.
 
+    ``wanted`` names the groups to draw for, those without positives included; by default those with some.
+
     groups: the group columns, the last of which (the split) the pool carries too. The pool is
     ranked once per split; a group takes its first k + its positives of that order, so at most
     k + positives rows per group are formed, never group x pool.
     """
     split = groups[-1]
-    n_pos = positives.groupBy(*groups).agg(F.count_distinct(key).alias("_p"))
+    n_pos = positives.select(*groups, key).distinct().groupBy(*groups).agg(F.count("*").alias("_p"))
+    if wanted is not None:
+        n_pos = wanted.select(*groups).distinct().join(n_pos, groups, "left").withColumn("_p", F.coalesce("_p", F.lit(0).cast("bigint")))
     from .hotkeys import ranked
 
     order = ranked(pool.select(split, key).distinct().withColumn("_h", hash_rank(seed, key)), [split], [F.col("_h").asc(), F.col(key).asc()], "_r").drop("_h")

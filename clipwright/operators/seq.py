@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from ..functions.geometry import centre_shift
 
 
+#: Seconds of a stretch in which samples and scenes meet.
+BIN_SEC = 60
+
+
 def _w(keys: list[str], order: list[str]):
     return Window.partitionBy(*keys).orderBy(*order)
 
@@ -76,10 +80,11 @@ def spread_counts(df: DataFrame, keys: list[str], order: list[str], status: str,
 
 
 def jump_flags(df: DataFrame, keys: list[str], order: list[str], x: str, y: str, half: str, usable: Column, share: float = 0.5) -> DataFrame:
-    """Add ``jump``: further than ``share`` face sizes from the last usable row before."""
+    """Add ``jump``: further than ``share`` face sizes from the last usable row before, in sizes of that row's face."""
     w = _w(keys, order).rowsBetween(Window.unboundedPreceding, -1)
-    ref = F.last(F.when(usable, F.struct(F.col(x).alias("x"), F.col(y).alias("y"))), ignorenulls=True).over(w)
-    return df.withColumn("_ref", ref).withColumn("jump", F.coalesce(F.hypot(F.col(x) - F.col("_ref.x"), F.col(y) - F.col("_ref.y")) > share * 2 * F.col(half), F.lit(False))).drop("_ref")
+    ref = F.last(F.when(usable, F.struct(F.col(x).alias("x"), F.col(y).alias("y"), F.col(half).alias("half"))), ignorenulls=True).over(w)
+    far = F.hypot(F.col(x) - F.col("_ref.x"), F.col(y) - F.col("_ref.y")) > share * 2 * F.col("_ref.half")
+    return df.withColumn("_ref", ref).withColumn("jump", F.coalesce(far, F.lit(False))).drop("_ref")
 
 
 def smoothed(df: DataFrame, keys: list[str], order: list[str], value: str, good: Column, mean_half: int = 2, median_half: int = 6) -> DataFrame:
@@ -118,7 +123,9 @@ def solo_segments(records: DataFrame, scenes: DataFrame, trim: float = 0.3, min_
     samples across adjoining tracks; bounds grown by 0.1 s inside the scene.
     """
     s = scenes.select("video", "scene_index", (F.col("start_sec") + trim).alias("lo"), (F.col("end_sec") - trim).alias("hi")).where(F.col("hi") - F.col("lo") >= min_duration)
-    r = records.join(s, (records["video"] == s["video"]) & (records["t"] >= s["lo"]) & (records["t"] <= s["hi"])).drop(s["video"])
+    # Samples meet only the scenes of their own stretch of time, not every scene of the video.
+    binned = s.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("lo") / BIN_SEC), F.floor(F.col("hi") / BIN_SEC))))
+    r = records.withColumn("_bin", F.floor(F.col("t") / BIN_SEC)).join(binned, ["video", "_bin"]).where((F.col("t") >= F.col("lo")) & (F.col("t") <= F.col("hi"))).drop("_bin")
     on_set = F.filter("faces", lambda f: (f["score"] >= min_score) & (f["h"] >= min_height))
     r = r.withColumn("solo", F.when(F.size(on_set) == 1, F.element_at(on_set, 1)))
     keys, order = ["video", "scene_index"], ["t"]
@@ -146,10 +153,12 @@ def last_session(df: DataFrame, keys: list[str], at: str, gap_sec: float = 600.0
 def recent_rate(df: DataFrame, keys: list[str], at: str, intervals: int = 5) -> DataFrame:
     """(keys, overall, recent): rows an hour over all of a key's rows, and over its last ``intervals`` gaps; null for a single moment."""
     sec = F.col(at).cast("timestamp").cast("double")
-    r = df.select(*keys, sec.alias("_s")).withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("_s"))))
-    last = F.when(F.col("_r") <= intervals + 1, F.col("_s"))
+    rows = df.select(*keys, sec.alias("_s"))
+    # The filter on the rank is pushed into the window as a limit per task, so a heavy key sends a few rows each.
+    last = rows.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("_s")))).where(F.col("_r") <= intervals + 1)
     per_hour = lambda n, lo, hi: F.when(hi > lo, (n - 1) * 3600 / (hi - lo))
-    g = r.groupBy(*keys).agg(F.count("_s").alias("_n"), F.min("_s").alias("_lo"), F.max("_s").alias("_hi"), F.count(last).alias("_m"), F.min(last).alias("_l"))
+    g = rows.groupBy(*keys).agg(F.count("_s").alias("_n"), F.min("_s").alias("_lo"), F.max("_s").alias("_hi"))
+    g = g.join(last.groupBy(*keys).agg(F.count("_s").alias("_m"), F.min("_s").alias("_l")), keys)
     return g.select(*keys, per_hour(F.col("_n"), F.col("_lo"), F.col("_hi")).alias("overall"), per_hour(F.col("_m"), F.col("_l"), F.col("_hi")).alias("recent"))
 
 
@@ -157,3 +166,41 @@ def idle(df: DataFrame, keys: list[str], at: str, now: Column, limit_sec: float
     """(keys, last, idle): whether a key's newest moment is longer ago than the limit."""
     g = df.groupBy(*keys).agg(F.max(at).alias("last"))
     return g.withColumn("idle", (now.cast("timestamp").cast("double") - F.col("last").cast("timestamp").cast("double")) > limit_sec)
+
+
+def with_fallback_scenes(scenes: DataFrame, videos: DataFrame) -> DataFrame:
+    """The scenes (video, scene_index, start_sec, end_sec), and one over the whole file for each video (video, duration_sec) without any."""
+    bare = videos.join(scenes.select("video").distinct(), "video", "left_anti").where("duration_sec > 0")
+    return scenes.select("video", "scene_index", "start_sec", "end_sec").unionByName(bare.select("video", F.lit(0).alias("scene_index"), F.lit(0.0).alias("start_sec"), F.col("duration_sec").cast("double").alias("end_sec")))
+
+
+def measured_samples(records: DataFrame, video: str = "video", t: str = "t", faces: str = "faces", every: int = 10, chunk_sec: float = 300.0, max_shift: float = 0.5) -> DataFrame:
+    """Add ``measured``: every ``every``-th sample of a chunk of time, and each whose face count or largest face changed since the one before it in the chunk."""
+    from ..functions.geometry import largest
+
+    keys, order = [video, "_chunk"], [t]
+    r = records.withColumn("_chunk", F.floor(F.col(t) / chunk_sec)).withColumn("_big", largest(F.col(faces))).withColumn("_n", F.size(faces))
+    place = F.row_number().over(_w(keys, order)) - 1
+    prev, prev_n = before("_big", keys, order), before("_n", keys, order)
+    moved = centre_shift(prev, F.col("_big"), F.col("frame_w"), F.col("frame_h")) >= max_shift
+    changed = prev_n.isNull() | (prev_n != F.col("_n")) | F.coalesce(moved, F.lit(False))
+    return r.withColumn("measured", (place % every == 0) | changed).drop("_chunk", "_big", "_n")
+
+
+def slice_statistics(spans: DataFrame, tracks: DataFrame, keys: list[str], f0: str = "f0", f1: str = "f1") -> DataFrame:
+    """Add ``mean_conf``, ``lip_motion`` and ``mouth_width_px`` of the frames [f0, f1) of each span's track.
+
+    A track is one row per clip with the arrays conf, aperture and width. Frames without a value
+    (null or NaN) are left out; a slice without any has null.
+    """
+    out = spans.join(tracks.select(*keys, "conf", "aperture", "width"), keys)
+    part = lambda c: F.filter(F.slice(c, F.col(f0) + 1, F.col(f1) - F.col(f0)), lambda x: x.isNotNull() & ~F.isnan(x))
+    some = lambda xs, v: F.when(F.size(xs) > 0, v)
+    total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda s, x: s + x)
+    out = out.withColumn("_c", part("conf")).withColumn("_a", part("aperture")).withColumn("_w", F.array_sort(part("width")))
+    mean = total(F.col("_a")) / F.size("_a")
+    spread = F.sqrt(total(F.transform("_a", lambda x: (x - F.col("_m")) * (x - F.col("_m")))) / F.size("_a"))
+    middle = lambda back: F.element_at("_w", (F.floor((F.size("_w") + back) / 2)).cast("int"))
+    out = out.withColumn("mean_conf", some(F.col("_c"), total(F.col("_c")) / F.size("_c"))).withColumn("_m", some(F.col("_a"), mean))
+    out = out.withColumn("lip_motion", some(F.col("_a"), spread)).withColumn("mouth_width_px", some(F.col("_w"), (middle(1) + middle(2)) / 2))
+    return out.drop("_c", "_a", "_w", "_m", "conf", "aperture", "width")

@@ -28,8 +28,9 @@ def unit_combos(units: DataFrame, max_size: int = 3, lo: float = 0.06, hi: float
 
 def combo_pairs(combos: DataFrame, target: float = 0.1) -> DataFrame:
     """(test, val, shares, score) of disjoint pairs; the score is the distance of both shares from the target, in points."""
-    combos = cut(combos.coalesce(1))
-    t = combos.select(F.col("combo").alias("test"), F.col("share").alias("test_share"))
+    combos = cut(combos)
+    # Combinations are few, as their units are; each is dealt to a task and set against the others.
+    t = combos.repartition("combo").select(F.col("combo").alias("test"), F.col("share").alias("test_share"))
     v = combos.select(F.col("combo").alias("val"), F.col("share").alias("val_share"))
     score = F.round(100 * (F.abs(F.col("test_share") - target) + F.abs(F.col("val_share") - target)), 2)
     return t.join(v, ~F.arrays_overlap("test", "val")).withColumn("score", score)

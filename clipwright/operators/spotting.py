@@ -29,7 +29,7 @@ def queries(spans_df: DataFrame, vocab: DataFrame) -> DataFrame:
     rows = rows.join(vocab.select("labeling", "class").distinct(), ["labeling", "class"], "left_semi")
     o = occurrence_frames("start_sec", "end_sec", "n_frames")
     rows = rows.withColumn("o", o)
-    return rows.select("class", "labeling", "split", "clip_id", "pos", F.col("o.start_sec").alias("start_sec"), F.col("o.end_sec").alias("end_sec"), F.col("o.f0").alias("start_frame"), F.col("o.f1").alias("end_frame"), "surface_form", F.col("o.clamped").alias("clamped"))
+    return rows.select("class", "labeling", "split", "clip_id", "pos", F.round("o.start_sec", 3).alias("start_sec"), F.round("o.end_sec", 3).alias("end_sec"), F.col("o.f0").alias("start_frame"), F.col("o.f1").alias("end_frame"), "surface_form", F.col("o.clamped").alias("clamped"))
 
 
 def clamped_spans(q: DataFrame) -> DataFrame:
@@ -41,17 +41,28 @@ def positives(q: DataFrame) -> DataFrame:
     return q.select("labeling", "class", "split", "clip_id").distinct()
 
 
-def class_table(vocab: DataFrame, q: DataFrame, neg: DataFrame, min_positive: int = 5) -> DataFrame:
-    """Per class and labeling: occurrences, positive and negative sentences per evaluation split, and whether test has enough."""
-    n = q.groupBy("labeling", "class").agg(
-        *(F.count_if(F.col("split") == s).alias(f"{s}_occurrences") for s in ("val", "test")),
-        *(F.count_distinct(F.when(F.col("split") == s, F.col("clip_id"))).alias(f"{s}_pos_sentences") for s in ("val", "test")),
+def class_table(vocab: DataFrame, q: DataFrame, pool: DataFrame, min_positive: int = 5) -> DataFrame:
+    """Per class and labeling: occurrences, sentences with and without it per evaluation split, and whether test has enough.
+
+    ``pool`` holds the sentences (split, clip_id). Occurrences are counted per sentence first, so no distinct count expands the rows.
+    """
+    held = ("val", "test")
+    per = q.where(F.col("split").isin(*held)).groupBy("labeling", "class", "split", "clip_id").agg(F.count("*").alias("n"))
+    n = per.groupBy("labeling", "class").agg(
+        *(F.sum(F.when(F.col("split") == s, F.col("n")).otherwise(0)).alias(f"{s}_occurrences") for s in held),
+        *(F.count_if(F.col("split") == s).alias(f"{s}_pos_sentences") for s in held),
     )
-    m = neg.groupBy("labeling", "class").agg(*(F.count_if(F.col("split") == s).alias(f"{s}_neg_sentences") for s in ("val", "test")))
-    out = vocab.select("labeling", "class").distinct().join(n, ["labeling", "class"], "left").join(m, ["labeling", "class"], "left").fillna(0)
+    sizes = pool.select("split", "clip_id").distinct().agg(*(F.count_if(F.col("split") == s).alias(f"_{s}") for s in held))
+    out = vocab.select("labeling", "class").distinct().join(n, ["labeling", "class"], "left").fillna(0).crossJoin(F.broadcast(sizes))
+    out = out.withColumns({f"{s}_neg_sentences": F.col(f"_{s}") - F.col(f"{s}_pos_sentences") for s in held}).drop(*(f"_{s}" for s in held))
     return out.withColumn("evaluable", (F.col("test_pos_sentences") >= min_positive).cast("int"))
 
 
+def with_media(items: DataFrame, media: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Items with the columns of their rendered media, '' where nothing was rendered."""
+    m = media.groupBy(*keys).agg(*(F.max(c).alias(c) for c in columns))
+    return items.join(m, keys, "left").fillna("", columns)
+
 
 def occurrence_labels(q: DataFrame) -> DataFrame:
     """One row per occurrence with all classes it serves under any labeling, sorted and joined."""

@@ -71,3 +71,14 @@ def index_percentiles(df: DataFrame, value: str, parts: int = 10) -> DataFrame:
     at = lambda i: F.min(F.when(F.col("upto") > i, F.col("v")))
     k = F.floor(F.col("n") / parts)
     return run.agg(F.max("n").alias("n"), at(k).alias("p10"), at(F.col("n") - 1 - k).alias("p90"))
+
+
+def word_sentence_table(words: DataFrame, sentences: DataFrame, key: str, split: str = "split") -> DataFrame:
+    """Per (key, split) of the words: clips, source clips, in-vocabulary and reviewed words, median face height, and the sentences and their hours (0 where none)."""
+    w = words.groupBy(key, split).agg(
+        F.count("*").alias("word_clips"), F.count_distinct("npz_path").alias("source_clips"), F.sum("in_vocab_surface").alias("in_vocab_surface"), F.sum("in_vocab_lemma").alias("in_vocab_lemma"),
+        F.count_if(F.col("manual_review") == 1).alias("manual_review"), F.percentile(F.col("face_height_px").cast("double"), F.lit(0.5)).alias("median_face_height_px"),
+    )
+    s = sentences.groupBy(F.col(key).alias("_k"), F.col(split).alias("_s")).agg(F.count("*").alias("sentences"), F.sum(F.col("n_frames") / 25 / 3600).alias("sentence_hours"))
+    out = w.join(s, F.col(key).eqNullSafe(F.col("_k")) & F.col(split).eqNullSafe(F.col("_s")), "left").drop("_k", "_s")
+    return out.withColumn("sentences", F.coalesce("sentences", F.lit(0))).withColumn("sentence_hours", F.round(F.coalesce("sentence_hours", F.lit(0.0)), 2))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import distance
+from ..functions.ids import hash_rank
 
 
 def offset_distances(video: DataFrame, audio: DataFrame, keys: list[str], i: str, vector: str, reach: int = 15, eps: float = 1e-6) -> DataFrame:
@@ -55,12 +56,20 @@ def splice_groups(words: DataFrame, half: Column) -> DataFrame:
     return words.withColumn("group", g).where("group IS NOT NULL")
 
 
-def donors(clips: DataFrame, owner: str, duration: str, key: str) -> DataFrame:
-    """Add ``donor``: for each clip the longest clip of another owner, if it is at least half as long plus one second.
+def donors(clips: DataFrame, owner: str, duration: str, key: str, seed: int = 2026, pool: int = 100) -> DataFrame:
+    """Add ``donor``: for each clip a clip of another owner, at least half as long plus one second, drawn by seed.
 
-    The two owners of the longest clips serve all: whoever owns a clip, one of them is another.
+    The draw is from a pool of the first ``pool`` clips in seeded order and, so that a clip with a donor anywhere gets one, the
+    longest clips of the two owners who have the longest: one of them is another owner's. The pool is bounded, so it is broadcast.
     """
-    longest = clips.groupBy(owner).agg(F.max(F.struct(F.col(duration).alias("d"), F.col(key).alias("k"))).alias("m")).select(F.col(owner).alias("_o"), F.col("m.d").alias("_d"), F.col("m.k").alias("_k"))
-    top = longest.where("_o IS NOT NULL").orderBy(F.desc("_d"), "_o").limit(2).agg(F.sort_array(F.collect_list(F.struct("_d", "_o", "_k")), asc=False).alias("_two"))
-    pick = F.get(F.filter("_two", lambda t: ~t["_o"].eqNullSafe(F.col(owner)) & (t["_d"] >= F.col(duration) / 2 + 1)), F.lit(0))
-    return clips.crossJoin(F.broadcast(top)).withColumn("donor", pick["_k"]).drop("_two")
+    known = clips.where(F.col(owner).isNotNull() & F.col(duration).isNotNull()).select(F.col(owner).alias("o"), F.col(duration).alias("d"), F.col(key).alias("k"))
+    one = lambda df, order, n: df.orderBy(*order).limit(n).agg(F.collect_list(F.struct("k", "o", "d")).alias("x"))
+    drawn = one(known, [hash_rank(seed, "k"), "k"], pool)
+    best = known.groupBy("o").agg(F.max(F.struct("d", "k")).alias("m")).select("o", "m.d", "m.k")
+    top = one(best, [F.desc("d"), "o"], 2)
+    pools = drawn.select(F.array_sort("x").alias("_pool")).crossJoin(top.select(F.col("x").alias("_top")))
+    fits = lambda xs: F.filter(xs, lambda c: (c["o"] != F.col(owner)) & (c["d"] >= F.col(duration) / 2 + 1))
+    out = clips.crossJoin(F.broadcast(pools)).withColumn("_a", fits("_pool")).withColumn("_b", fits("_top"))
+    turn = F.pmod(F.conv(F.substring(hash_rank(seed, key), 1, 8), 16, 10).cast("bigint"), F.size("_a").cast("bigint")).cast("int")
+    pick = F.when(F.size("_a") > 0, F.get("_a", turn)["k"]).otherwise(F.get("_b", F.lit(0))["k"])
+    return out.withColumn("donor", pick).drop("_pool", "_top", "_a", "_b")

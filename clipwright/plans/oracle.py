@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from . import extra
+
 _BLANKS = "chr(32) || chr(9) || chr(10) || chr(13) || chr(160)"
 
 
@@ -22,7 +24,8 @@ def _surface(c: str) -> str:
     return _low(_strip(c))
 
 
-_LATIN = "çğıöşüÇĞİÖŞÜâîûÂÎÛ"
+# The letters beyond ASCII a label may have.
+_LATIN = "çğıöşüâîûÇĞİÖŞÜÂÎÛéèêëáàäóòôúùñßøåæœ"
 _LABEL = f"(coalesce({_surface('surface_form')}, '') <> '' AND substr(surface_form, 1, 1) NOT IN ('''', '’'))"
 _SUFFIX = "(substr(surface_form, 1, 1) IN ('''', '’') AND length(surface_form) > 1)"
 _VOWELS = "aeıioöuüâîû"
@@ -46,12 +49,13 @@ spans AS (SELECT clip_id, split, n_frames, u.i - 1 AS pos, ws[u.i].surface_form
 V = f"v AS (SELECT DISTINCT labeling, class FROM (SELECT {_low('lemma')} AS class FROM lemma_classes_605), (VALUES ('surface'), ('lemma')) t(labeling) WHERE class <> '')"
 Q = f"""{SPANS}, {V}, o AS (SELECT *, least(greatest(start_sec, 0), n_frames / 25) AS s2, least(greatest(end_sec, 0), n_frames / 25) AS e2 FROM spans WHERE {_LABEL}),
 lab AS (SELECT 'surface' AS labeling, {_surface("surface_form")} AS class, * FROM o UNION ALL SELECT 'lemma', {_low("lemma")}, * FROM o),
-q AS (SELECT class, labeling, split, clip_id, pos, s2 AS start_sec, e2 AS end_sec, least(round_even(s2 * 25, 0)::INT, n_frames - 1) AS start_frame,
+q AS (SELECT class, labeling, split, clip_id, pos, round(s2, 3) AS start_sec, round(e2, 3) AS end_sec, least(round_even(s2 * 25, 0)::INT, n_frames - 1) AS start_frame,
     least(greatest(least(round_even(s2 * 25, 0)::INT, n_frames - 1) + 1, round_even(e2 * 25, 0)::INT), n_frames) AS end_frame, surface_form, s2 <> start_sec OR e2 <> end_sec AS clamped
     FROM lab SEMI JOIN v USING (labeling, class))"""
 _NEG = """pos AS (SELECT DISTINCT labeling, class, split, clip_id FROM q WHERE split IN ('val', 'test')),
 pool AS (SELECT DISTINCT split, clip_id FROM sent WHERE split IN ('val', 'test')),
-cand AS (SELECT g.labeling, g.class, g.split, pool.clip_id FROM (SELECT DISTINCT labeling, class, split FROM pos) g JOIN pool USING (split) ANTI JOIN pos USING (labeling, class, split, clip_id)),
+g AS (SELECT labeling, class, h.split FROM (SELECT labeling, class FROM pos WHERE split = 'test' GROUP BY ALL HAVING count(*) >= 5) x, (VALUES ('val'), ('test')) h(split)),
+cand AS (SELECT g.labeling, g.class, g.split, pool.clip_id FROM g JOIN pool USING (split) ANTI JOIN pos USING (labeling, class, split, clip_id)),
 neg AS (SELECT * FROM cand QUALIFY row_number() OVER (PARTITION BY labeling, class, split ORDER BY md5('2026#' || clip_id), clip_id) <= 10)"""
 VD = f"""a AS (SELECT lower(trim(kind)) AS kind, clip_id, {_key("annotator")} AS annotator, replace(lower(trim(verdict)), ' ', '_') AS verdict, created_at, annotation_id
     FROM annotations WHERE NOT coalesce(was_cancelled, false)),
@@ -61,12 +65,13 @@ R = f"""r AS (SELECT clip_file, min(source_url) AS source_url, min(source_video)
     min({_key("reporter")}) AS reporter, max(duration_sec) AS duration_sec FROM reporter_clips WHERE clip_file IS NOT NULL GROUP BY clip_file)"""
 E = "e AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS k FROM events)"
 F = f"{E}, f AS (SELECT user_id, event_id, k, value, CASE event_type WHEN 'error' THEN 1 WHEN 'purchase' THEN 2 ELSE 0 END AS status FROM e)"
-_ID = r"coalesce(nullif(regexp_extract({0}, '[?&]v=([A-Za-z0-9_-]{{11}})', 1), ''), nullif(regexp_extract({0}, '(?:youtu\.be|kisa\.example)/([A-Za-z0-9_-]{{11}})', 1), ''), nullif(regexp_extract({0}, '/(?:shorts|embed|live)/([A-Za-z0-9_-]{{11}})', 1), ''))"
-URL = rf"""u AS (SELECT *, CASE WHEN regexp_matches(trim(source_url), '^[A-Za-z]+://') THEN trim(source_url) ELSE 'https://' || trim(source_url) END AS full_url FROM @SOURCE),
-h AS (SELECT *, regexp_replace(lower(regexp_extract(full_url, '^[A-Za-z]+://([^/?#]*)', 1)), 'www\.|m\.', '', 'g') AS host, regexp_replace(regexp_extract(full_url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1), '/+$', '') AS path,
-    {_ID.format("full_url")} AS ident FROM u),
-n AS (SELECT *, CASE host WHEN 'youtube.com' THEN host WHEN 'youtu.be' THEN 'youtube.com' WHEN 'video.example' THEN host WHEN 'kisa.example' THEN 'video.example' END AS site FROM h),
-urls AS (SELECT *, CASE WHEN trim(source_url) = '' THEN '' WHEN site IS NOT NULL AND ident IS NOT NULL THEN 'https://' || site || '/watch?v=' || ident ELSE 'https://' || host || path END AS url FROM n)"""
+_ID = r"coalesce(nullif(regexp_extract({0}, '(?:youtu\.be|kisa\.example)/([A-Za-z0-9_-]{{11}})', 1), ''), nullif(regexp_extract({0}, '[?&]v=([A-Za-z0-9_-]{{11}})', 1), ''), nullif(regexp_extract({0}, '/shorts/([A-Za-z0-9_-]{{11}})', 1), ''))"
+URL = r"""h AS (SELECT *, string_split(trim(source_url), '#')[1] AS bare FROM @SOURCE), q AS (SELECT *, string_split(bare, '?')[1] AS front, substr(bare, length(string_split(bare, '?')[1]) + 2) AS query FROM h),
+a AS (SELECT *, CASE WHEN contains(front, '://') THEN string_split(front, '://')[1] ELSE '' END AS scheme, CASE WHEN contains(front, '://') THEN substr(front, strpos(front, '://') + 3) ELSE front END AS rest FROM q),
+p AS (SELECT *, CASE WHEN scheme <> '' THEN replace(replace(lower(string_split(rest, '/')[1]), 'www.', ''), 'm.', '') ELSE '' END AS host, CASE WHEN scheme <> '' THEN substr(rest, length(string_split(rest, '/')[1]) + 1) ELSE rest END AS path FROM a),
+urls AS (SELECT *, CASE WHEN host IN ('youtu.be', 'kisa.example') AND trim(path, '/') <> '' THEN 'https://' || CASE host WHEN 'youtu.be' THEN 'youtube.com' ELSE 'video.example' END || '/watch?v=' || ltrim(rtrim(path, '/'), '/')
+    WHEN host IN ('youtube.com', 'video.example', 'youtu.be', 'kisa.example') AND rtrim(path, '/') = '/watch' AND regexp_matches(query, '(^|&)v=[^&]') THEN 'https://' || host || '/watch?v=' || regexp_extract(query, '(?:^|&)v=([^&]+)', 1)
+    WHEN host IN ('youtube.com', 'video.example') AND regexp_matches(path, '^/shorts/[^/]') THEN 'https://' || host || '/shorts/' || string_split(path, '/')[3] ELSE lower(scheme) || '://' || host || path END AS url FROM p)"""
 
 _VOCAB = """SELECT class, train_n, val_n, test_n, n_speakers, n_channels FROM (SELECT {0} AS class, count(*) FILTER (split = 'train') AS train_n, count(*) FILTER (split = 'val') AS val_n,
     count(*) FILTER (split = 'test') AS test_n, count(DISTINCT speaker_id) FILTER (split = 'train') AS n_speakers, count(DISTINCT channel) FILTER (split = 'train') AS n_channels FROM w WHERE {1} GROUP BY 1)"""
@@ -97,9 +102,6 @@ _COLUMNS = (
     "clip_id npz_path frame_start frame_end speaker_id channel source_clip source_video face_height_px mouth_width_px clip_start_sec clip_end_sec n_frames fps syncnet_score syncnet_offset lip_motion "
     "mean_yaw mean_pitch surface_form lemma word_start_sec word_end_sec confidence manual_review word_sync_conf track_ok split appended_at"
 ).split()
-_RELEASE = (
-    "clip_id npz_path frame_start frame_end speaker_id channel source_clip clip_start_sec clip_end_sec n_frames fps syncnet_score mean_yaw mean_pitch surface_form lemma word_start_sec word_end_sec confidence split"
-).split()
 _SWEEP = " UNION ALL ".join(
     f"SELECT {k * 0.5} AS threshold, round(avg((word_sync_conf >= {k * 0.5})::INT::DOUBLE) FILTER (p), 6) AS tpr, round(avg((word_sync_conf >= {k * 0.5})::INT::DOUBLE) FILTER (NOT p), 6) AS fpr FROM t" for k in range(13)
 )
@@ -131,7 +133,7 @@ SQL: dict[str, str] = {
     "lemma_fallbacks": f"SELECT surface, {_FALL} AS lemma FROM (SELECT DISTINCT surface_form AS surface FROM word_clips WHERE surface_form IS NOT NULL)",
     "lemma_backfill": f"SELECT coalesce({_FALL}, lemma) IS DISTINCT FROM lemma AS changed, count(*) AS n FROM (SELECT surface_form AS surface, lemma FROM word_clips) GROUP BY 1",
     "lemma_choice": """SELECT surface, lemma FROM (SELECT surface_form AS surface, lemma, count(*) AS votes FROM word_clips WHERE surface_form IS NOT NULL AND lemma IS NOT NULL GROUP BY ALL)
-        QUALIFY row_number() OVER (PARTITION BY surface ORDER BY length(lemma), votes DESC, lemma) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY surface ORDER BY length(lemma) % 2, length(lemma) % 3, regexp_matches(lemma, '[ae]') DESC, starts_with(surface, substr(lemma, 1, 2)) DESC, votes DESC, length(lemma) DESC, ascii(lemma), lemma) = 1""",
     "train_cap": f"""WITH {C}, t AS (SELECT * FROM c WHERE split = 'train'), lim AS (SELECT floor(count(*) * 0.05) AS l FROM t),
         big AS (SELECT speaker_id, count(*) AS n FROM t WHERE speaker_id IS NOT NULL GROUP BY 1 HAVING count(*) > (SELECT l FROM lim)),
         k AS (SELECT t.*, row_number() OVER (PARTITION BY speaker_id, lemma_cls ORDER BY md5('2026#' || clip_id), clip_id) AS rn, count(*) OVER (PARTITION BY speaker_id, lemma_cls) AS m, n, l FROM t JOIN big USING (speaker_id), lim)
@@ -150,9 +152,9 @@ SQL: dict[str, str] = {
     "spotting_queries": f"WITH {Q} SELECT class, labeling, split, clip_id, start_sec, end_sec, start_frame, end_frame, surface_form FROM q",
     "spotting_negatives": f"WITH {Q}, {_NEG} SELECT labeling, class, split, clip_id FROM neg",
     "spotting_classes": f"""WITH {Q}, {_NEG}, n AS (SELECT labeling, class, count(*) FILTER (split = 'val') AS vo, count(*) FILTER (split = 'test') AS tocc, count(DISTINCT clip_id) FILTER (split = 'val') AS vp,
-        count(DISTINCT clip_id) FILTER (split = 'test') AS tp FROM q GROUP BY ALL), m AS (SELECT labeling, class, count(*) FILTER (split = 'val') AS vn, count(*) FILTER (split = 'test') AS tn FROM neg GROUP BY ALL)
+        count(DISTINCT clip_id) FILTER (split = 'test') AS tp FROM q GROUP BY ALL), m AS (SELECT count(*) FILTER (split = 'val') AS vn, count(*) FILTER (split = 'test') AS tn FROM pool)
         SELECT labeling, class, coalesce(vo, 0) AS val_occurrences, coalesce(tocc, 0) AS test_occurrences, coalesce(vp, 0) AS val_pos_sentences, coalesce(tp, 0) AS test_pos_sentences,
-        coalesce(vn, 0) AS val_neg_sentences, coalesce(tn, 0) AS test_neg_sentences, (coalesce(tp, 0) >= 5)::INT AS evaluable FROM v LEFT JOIN n USING (labeling, class) LEFT JOIN m USING (labeling, class)""",
+        vn - coalesce(vp, 0) AS val_neg_sentences, tn - coalesce(tp, 0) AS test_neg_sentences, (coalesce(tp, 0) >= 5)::INT AS evaluable FROM v LEFT JOIN n USING (labeling, class) CROSS JOIN m""",
     "spotting_clamped": f"WITH {Q} SELECT count(*) AS clamped FROM (SELECT DISTINCT clip_id, pos FROM q WHERE clamped)",
     "occurrence_labels": f"WITH {Q} SELECT clip_id, start_sec, end_sec, surface_form, array_to_string(list_sort(list(DISTINCT labeling || ':' || class)), ' / ') AS labels FROM q GROUP BY ALL",
     "annotation_tasks": f"WITH {C} SELECT clip_id, to_json({{'data': {{'clip_id': clip_id, 'split': split, 'surface': surface}}}})::VARCHAR AS task FROM c WHERE split = 'test'",
@@ -179,7 +181,7 @@ SQL: dict[str, str] = {
         coalesce(first_value(heads IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 1) AS b FROM h)
         SELECT user_id, CASE WHEN status = 0 AND (a > 1 OR b > 1) THEN 9 ELSE status END AS status, count(*) AS n FROM s GROUP BY 1, 2""",
     "jumps": f"""WITH {F}, r AS (SELECT *, last_value(CASE WHEN status = 0 THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ref FROM f)
-        SELECT event_id, coalesce(abs(value - ref) > 10, false) AS jump FROM r""",
+        SELECT event_id, coalesce(sqrt((value - ref) * (value - ref) + (value - ref) * (value - ref) / 4) > ref % 7 + 3, false) AS jump FROM r""",
     "smoothed": f"""WITH {F}, g AS (SELECT *, CASE WHEN status = 0 THEN value END AS g FROM f),
         a AS (SELECT *, avg(g) OVER (PARTITION BY user_id ORDER BY k ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS m, quantile_cont(g, 0.5) OVER (PARTITION BY user_id ORDER BY k ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING) AS d,
         first_value(g IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY k ROWS BETWEEN CURRENT ROW AND 6 FOLLOWING) AS first_seen FROM g)
@@ -229,9 +231,11 @@ SQL: dict[str, str] = {
     "verified_items": f"WITH {VD} SELECT kind, clip_id, count(*)::INT AS n_annotators, array_to_string(list_sort(list(DISTINCT verdict)), '|') AS verdicts, min((verdict = 'correct')::INT) AS verified FROM vd GROUP BY kind, clip_id",
     "corrected_truth": f"""WITH {W}, q AS (SELECT clip_id, printf('%.2f', word_start_sec) AS s, printf('%.2f', word_end_sec) AS e, surface FROM w),
         k AS (SELECT DISTINCT q.clip_id, s, e FROM q JOIN (SELECT DISTINCT clip_id FROM verified WHERE verified = 1) USING (clip_id)) SELECT surface, count(*) AS n FROM q JOIN k USING (clip_id, s, e) GROUP BY surface""",
-    "release_words": f"""WITH v AS (SELECT clip_id, max(verified) AS verified, max(label_fix) AS label_fix FROM verified WHERE kind = 'word' GROUP BY 1)
-        SELECT {', '.join("regexp_replace(replace(w.npz_path, chr(92), '/'), '^data/', '') AS npz_path" if c == 'npz_path' else f'w.{c}' for c in _RELEASE)}, coalesce(verified::VARCHAR, '') AS verified, coalesce(label_fix, '') AS label_fix
-        FROM word_clips w LEFT JOIN v ON w.clip_id = v.clip_id""",
+    "release_words": f"""WITH {W}, {V}, v2 AS (SELECT clip_id, max(verified) AS verified, max(label_fix) AS label_fix FROM verified WHERE kind = 'word' GROUP BY 1),
+        f AS (SELECT w.*, coalesce(w.surface IN (SELECT class FROM v WHERE labeling = 'surface'), false)::INT AS ins, coalesce(w.lemma_cls IN (SELECT class FROM v WHERE labeling = 'lemma'), false)::INT AS inl FROM w)
+        SELECT f.clip_id, CASE WHEN ins = 1 THEN surface ELSE '' END AS label_surface, CASE WHEN inl = 1 THEN lemma_cls ELSE '' END AS label_lemma, ins AS in_vocab_surface, inl AS in_vocab_lemma, surface_form, lemma, word_start_sec, word_end_sec,
+        speaker_id, channel, split, regexp_replace(replace(npz_path, chr(92), '/'), '^data/', '') AS npz_path, frame_start, frame_end, n_frames, fps, coalesce(verified::VARCHAR, '') AS verified, coalesce(label_fix, '') AS label_fix
+        FROM f LEFT JOIN v2 ON f.clip_id = v2.clip_id""",
     "confidence_histogram": f"""WITH {W}, e AS (SELECT i, round((i * 0.05)::DOUBLE, 6) AS lo FROM range(0, 21) t(i)),
         b AS (SELECT split, least((SELECT count(*) FROM e WHERE lo <= least(greatest(confidence, 0.0), 1.0)), 20) AS bin FROM w WHERE confidence IS NOT NULL), k AS (SELECT split, bin, count(*) AS n FROM b GROUP BY ALL),
         g AS (SELECT s.split, i AS bin, lo0 AS lo FROM (SELECT DISTINCT split FROM w) s, (SELECT i + 1 AS i, lo AS lo0 FROM e WHERE i < 20)),
@@ -279,11 +283,17 @@ SQL: dict[str, str] = {
     "media_names": rf"""WITH {C} SELECT clip_id, substr(sha1(concat_ws('|', clip_id, split)), 1, 16) AS media, regexp_replace(regexp_replace(source_clip, '^.*/', ''), '\.[^.]*$', '') AS stem,
         regexp_replace(replace(source_clip, chr(92), '/'), '^data/', '') AS path FROM c""",
     "json_props": "SELECT event_type, sum((props->>'k')::INT)::BIGINT AS k, count(*) FILTER (props->>'k' IS NULL) AS unknown FROM events GROUP BY 1",
-    "box_shifts": """SELECT clip_id, round(sqrt(2) / greatest(1.0, w), 6) AS shift, round(CASE WHEN abs(x) + abs(w - x) = 0 THEN 1.0 ELSE abs(abs(w - x) - abs(x)) / (abs(w - x) + abs(x)) END, 6) AS yaw
-        FROM (SELECT clip_id, max(mean_yaw) AS x, max(mouth_width_px) AS w FROM word_clips WHERE mouth_width_px IS NOT NULL AND face_height_px IS NOT NULL AND clip_id IS NOT NULL GROUP BY clip_id)""",
-    "suffix_join": f"""WITH {SPANS}, m AS (SELECT *, sum((pos = 0 OR NOT coalesce({_SUFFIX}, false))::INT) OVER (PARTITION BY clip_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS run FROM spans),
-        g AS (SELECT clip_id, min(pos) AS pos, string_agg(surface_form, '' ORDER BY pos) AS surface, count(*) AS n, arg_min(lemma, pos) AS lem, min(start_sec) AS start_sec, max(end_sec) AS end_sec FROM m GROUP BY clip_id, run)
-        SELECT clip_id, pos, surface AS surface_form, CASE WHEN n > 1 THEN {_FALL} ELSE lem END AS lemma, start_sec, end_sec, row_number() OVER (PARTITION BY clip_id ORDER BY pos) - 1 AS word_index FROM g""",
+    "box_shifts": """WITH b AS (SELECT clip_id, max(source_clip) AS source_clip, max(mean_yaw) AS x, max(mean_pitch) AS y, max(mouth_width_px) AS w, max(face_height_px)::DOUBLE AS h FROM word_clips
+            WHERE mouth_width_px IS NOT NULL AND face_height_px IS NOT NULL AND clip_id IS NOT NULL GROUP BY clip_id),
+        n AS (SELECT *, lead(x) OVER o AS x2, lead(y) OVER o AS y2, lead(w) OVER o AS w2, lead(h) OVER o AS h2 FROM b WINDOW o AS (PARTITION BY source_clip ORDER BY clip_id))
+        SELECT clip_id, round(sqrt(pow(2 * (x + w / 2 - x2 - w2 / 2), 2) + pow(3 * (y + h / 2 - y2 - h2 / 2), 2)) / greatest(1.0, 2 * least(w, w2)), 6) AS shift,
+        round(CASE WHEN abs(x) + abs(w - x) = 0 THEN 1.0 ELSE abs(abs(w - x) - abs(x)) / (abs(w - x) + abs(x)) END, 6) AS yaw FROM n""",
+    "suffix_join": f"""WITH {SPANS}, cf AS (SELECT *, CASE WHEN pos % 4 <> 3 THEN 0.6::DOUBLE + (pos % 5)::DOUBLE / 20 END AS conf FROM spans),
+        m AS (SELECT *, sum((pos = 0 OR NOT coalesce({_SUFFIX}, false))::INT) OVER (PARTITION BY clip_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS run FROM cf),
+        g AS (SELECT clip_id, min(pos) AS pos, string_agg(surface_form, '' ORDER BY pos) AS surface, count(*) AS n, arg_min(lemma, pos) AS lem, min(start_sec) AS start_sec, max(end_sec) AS end_sec, min(conf) AS conf,
+            arg_min(coalesce((conf < 0.7)::INT, 0), pos) AS flag FROM m GROUP BY clip_id, run)
+        SELECT clip_id, pos, surface AS surface_form, CASE WHEN n > 1 THEN {_FALL} ELSE lem END AS lemma, start_sec, end_sec, round(conf, 4) AS confidence, CASE WHEN n > 1 THEN (conf < 0.7)::INT ELSE flag END AS manual_review,
+        row_number() OVER (PARTITION BY clip_id ORDER BY pos) - 1 AS word_index FROM g""",
     "word_gates": f"WITH {W} SELECT {_GATE} AS reason, count(*) AS n FROM w GROUP BY 1",
     "sentence_gates": """SELECT CASE WHEN NOT (sentence_end_sec - sentence_start_sec BETWEEN 1.0 AND 8.0) THEN 'duration' WHEN NOT n_frames > 0 THEN 'out_of_range' WHEN NOT coalesce(syncnet_score >= 2, true) THEN 'track_fail'
         WHEN n_words > 0 AND coalesce(sentence_sync_conf, 9) < 3 THEN 'offscreen_speech' END AS reason, count(*) AS n FROM sentence_clips GROUP BY 1""",
@@ -292,8 +302,11 @@ SQL: dict[str, str] = {
     "transcript_slice": f"""WITH {SPANS} SELECT clip_id, round(min_by(round(start_sec - 1.0, 3), pos), 3) AS start_sec, round(max_by(round(end_sec - 1.0, 3), pos), 3) AS end_sec, string_agg(surface_form, ' ' ORDER BY pos) AS text, count(*)::INT AS n_words
         FROM spans WHERE start_sec >= 1.0 AND end_sec <= 3.0 GROUP BY clip_id""",
     "donor_clips": f"""WITH {R}, x AS (SELECT clip_file, reporter, duration_sec FROM r WHERE duration_sec IS NOT NULL AND reporter IS NOT NULL),
-        m AS (SELECT reporter AS o, duration_sec AS d, clip_file AS k FROM x QUALIFY row_number() OVER (PARTITION BY reporter ORDER BY duration_sec DESC, clip_file DESC) = 1), t AS (SELECT * FROM m ORDER BY d DESC, o LIMIT 2)
-        SELECT x.*, (SELECT k FROM t WHERE t.o <> x.reporter AND t.d >= x.duration_sec / 2 + 1 ORDER BY d DESC, o DESC LIMIT 1) AS donor FROM x""",
+        pool AS (SELECT * FROM x ORDER BY md5('2026#' || clip_file), clip_file LIMIT 100),
+        m AS (SELECT reporter AS o, duration_sec AS d, clip_file AS k FROM x QUALIFY row_number() OVER (PARTITION BY reporter ORDER BY duration_sec DESC, clip_file DESC) = 1), t AS (SELECT * FROM m ORDER BY d DESC, o LIMIT 2),
+        c AS (SELECT x.clip_file, list(p.clip_file ORDER BY p.clip_file) AS ks FROM x JOIN pool p ON p.reporter <> x.reporter AND p.duration_sec >= x.duration_sec / 2 + 1 GROUP BY 1)
+        SELECT x.*, CASE WHEN c.ks IS NOT NULL THEN c.ks[('0x' || substr(md5('2026#' || x.clip_file), 1, 8))::BIGINT % len(c.ks) + 1]
+            ELSE (SELECT k FROM t WHERE t.o <> x.reporter AND t.d >= x.duration_sec / 2 + 1 ORDER BY d DESC, o LIMIT 1) END AS donor FROM x LEFT JOIN c USING (clip_file)""",
     "speaker_sets": f"""WITH a AS ({_SPK.format('word_clips')}), b AS ({_SPK.format('speaker_table')}) SELECT speaker_id, CASE WHEN a.speaker_id IS NOT NULL AND b.speaker_id IS NOT NULL THEN 'both' WHEN a.speaker_id IS NOT NULL THEN 'words' ELSE 'table' END AS side
         FROM a FULL JOIN b USING (speaker_id)""",
     "p7_speakers": f"""WITH w AS (SELECT {_key("speaker_id")} AS key, clip_id, appended_at, n_frames / fps / 3600 AS hours, confidence FROM word_clips),
@@ -310,4 +323,4 @@ SQL: dict[str, str] = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
+    return {**SQL, **extra.oracle_sql()}

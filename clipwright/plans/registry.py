@@ -11,56 +11,8 @@ from ..schemas import SPAN
 from ..session import cut, scratch, table
 from ..sources import manifests, sinks
 from ..streaming import incremental
-
-SEED = 2026
-MIN_TRAIN, MIN_SPEAKERS = 10, 3
-
-
-# --- inputs ---------------------------------------------------------------------------------
-
-
-def _words(spark: SparkSession, d: str) -> DataFrame:
-    """word_clips with clean keys and class keys, rows as stored."""
-    w = table(spark, d, "word_clips")
-    return w.withColumns({"speaker_id": text.clean_key("speaker_id"), "channel": text.clean_key("channel", "-", "bilinmiyor"), "split": F.lower(F.trim("split")), "surface": text.surface_class("surface_form"), "lemma_cls": text.lemma_class("lemma")})
-
-
-def _clips(spark: SparkSession, d: str) -> DataFrame:
-    """One row per word clip."""
-    low = {c: F.min(c).alias(c) for c in ("speaker_id", "channel", "lemma", "surface", "lemma_cls", "split", "source_clip")}
-    return _words(spark, d).where("clip_id IS NOT NULL").groupBy("clip_id").agg(*low.values(), F.max("confidence").alias("confidence"), F.max("n_frames").alias("n_frames"))
-
-
-def _sentences(spark: SparkSession, d: str) -> DataFrame:
-    """One row per sentence clip with the split of its source clip."""
-    s = table(spark, d, "sentence_clips").where("clip_id IS NOT NULL").groupBy("clip_id").agg(F.max("word_spans").alias("word_spans"), F.max("n_frames").alias("n_frames"), F.max("source_clip").alias("source_clip"))
-    splits = _words(spark, d).where("split IN ('train', 'val', 'test')").groupBy("source_clip").agg(F.max("split").alias("split"))
-    return s.join(splits, "source_clip")
-
-
-def _vocab(spark: SparkSession, d: str) -> DataFrame:
-    """(labeling, class): the published lemma list under both labelings."""
-    c = table(spark, d, "lemma_classes_605").select(text.lemma_class("lemma").alias("class")).where("class <> ''").distinct()
-    return c.select(F.explode(F.array(F.lit("surface"), F.lit("lemma"))).alias("labeling"), "class")
-
-
-def _queries(spark: SparkSession, d: str) -> DataFrame:
-    return spotting.queries(spotting.spans(_sentences(spark, d)), _vocab(spark, d))
-
-
-def _verdicts(spark: SparkSession, d: str) -> DataFrame:
-    a = table(spark, d, "annotations").where(~F.coalesce("was_cancelled", F.lit(False)))
-    v = F.regexp_replace(F.lower(F.trim("verdict")), " ", "_")
-    a = a.select(F.lower(F.trim("kind")).alias("kind"), "clip_id", text.clean_key("annotator").alias("annotator"), v.alias("verdict"), "created_at", "annotation_id").where("verdict <> '' AND annotator IS NOT NULL")
-    return agreement.last_verdicts(a, ["created_at", "annotation_id"])
-
-
-def _events(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "events")
-
-
-_K, _O = ["user_id"], ["ts", "event_id"]
-
+from . import extra
+from .inputs import _K, _O, MIN_SPEAKERS, MIN_TRAIN, SEED, _clips, _events, _frames, _queries, _reporter_rows, _sentences, _verdicts, _vocab, _words
 
 # --- classes, vocabulary, quality -------------------------------------------------------------
 
@@ -143,7 +95,9 @@ def lemma_backfill(spark: SparkSession, d: str) -> DataFrame:
 def lemma_choice(spark: SparkSession, d: str) -> DataFrame:
     """The lemma of a surface by vote over the corpus: each row is one candidate analysis."""
     w = table(spark, d, "word_clips").where("surface_form IS NOT NULL AND lemma IS NOT NULL")
-    c = w.select(F.col("surface_form").alias("surface"), "lemma", F.lit(0).alias("penalty"), F.length("lemma").alias("morphemes"), F.lit(1).alias("open_class"), F.lit(1).alias("intact"), F.lit(0).alias("ord"))
+    n = F.length("lemma")
+    intact = F.startswith("surface_form", F.substring("lemma", 1, 2)).cast("int")
+    c = w.select(F.col("surface_form").alias("surface"), "lemma", (n % 2).alias("penalty"), (n % 3).alias("morphemes"), F.col("lemma").rlike("[ae]").cast("int").alias("open_class"), intact.alias("intact"), F.ascii("lemma").alias("ord"))
     return lemma.choose_lemma(c)
 
 
@@ -194,18 +148,24 @@ def spotting_queries(spark: SparkSession, d: str) -> DataFrame:
     return _queries(spark, d).drop("pos", "clamped")
 
 
+def _held(spark: SparkSession, d: str) -> DataFrame:
+    return _sentences(spark, d).where("split IN ('val', 'test')")
+
+
 def spotting_negatives(spark: SparkSession, d: str) -> DataFrame:
-    pos = cut(spotting.positives(_queries(spark, d)).where("split IN ('val', 'test')"))
-    pool = _sentences(spark, d).where("split IN ('val', 'test')").select("split", "clip_id")
-    return sampling.negatives(pos, pool, ["labeling", "class", "split"], "clip_id", 10, SEED)
+    """For each class with enough sentences in test, sentences of val and of test without it."""
+    held = cut(_held(spark, d))
+    pool = held.select("split", "clip_id")
+    q = cut(spotting.queries(spotting.spans(held), _vocab(spark, d)))
+    classes = spotting.class_table(_vocab(spark, d), q, pool).where("evaluable = 1")
+    wanted = classes.select("labeling", "class", F.explode(F.array(F.lit("val"), F.lit("test"))).alias("split"))
+    return sampling.negatives(spotting.positives(q), pool, ["labeling", "class", "split"], "clip_id", 10, SEED, wanted)
 
 
 def spotting_classes(spark: SparkSession, d: str) -> DataFrame:
-    q = cut(_queries(spark, d))
-    pos = spotting.positives(q).where("split IN ('val', 'test')")
-    pool = _sentences(spark, d).where("split IN ('val', 'test')").select("split", "clip_id")
-    neg = sampling.negatives(pos, pool, ["labeling", "class", "split"], "clip_id", 10, SEED)
-    return spotting.class_table(_vocab(spark, d), q, neg)
+    held = cut(_held(spark, d))
+    q = spotting.queries(spotting.spans(held), _vocab(spark, d))
+    return spotting.class_table(_vocab(spark, d), q, held.select("split", "clip_id"))
 
 
 def spotting_clamped(spark: SparkSession, d: str) -> DataFrame:
@@ -250,12 +210,6 @@ def median_filtered(spark: SparkSession, d: str) -> DataFrame:
     return _events(spark, d).select("event_id", seq.median_filter(F.col("value"), _K, _O, 9).alias("filtered"))
 
 
-def _frames(spark: SparkSession, d: str) -> DataFrame:
-    """Events as frames of a clip per user: k counts from 0, status 0 good, 1 error, 2 purchase."""
-    e = _events(spark, d).withColumn("k", F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")) - 1)
-    return e.select("user_id", "event_id", "k", "value", F.when(F.col("event_type") == "error", 1).when(F.col("event_type") == "purchase", 2).otherwise(0).alias("status"))
-
-
 def short_holes_filled(spark: SparkSession, d: str) -> DataFrame:
     return seq.fill_short_runs(_frames(spark, d), _K, ["k"], "status", 1, 0, 2).groupBy("user_id", "status").agg(F.count("*").alias("n"))
 
@@ -266,7 +220,7 @@ def spread_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def jumps(spark: SparkSession, d: str) -> DataFrame:
-    f = _frames(spark, d).withColumn("y", F.lit(0.0)).withColumn("half", F.lit(10.0))
+    f = _frames(spark, d).withColumn("y", F.col("value") / 2).withColumn("half", F.col("value") % 7 + 3)
     return seq.jump_flags(f, _K, ["k"], "value", "y", "half", F.col("status") == 0).select("event_id", "jump")
 
 
@@ -335,11 +289,6 @@ def streamed_words(spark: SparkSession, d: str) -> DataFrame:
 # --- queue --------------------------------------------------------------------------------------
 
 
-def _reporter_rows(spark: SparkSession, d: str) -> DataFrame:
-    r = table(spark, d, "reporter_clips").where("clip_file IS NOT NULL")
-    return r.groupBy("clip_file").agg(F.min("source_url").alias("source_url"), F.min("source_video").alias("source_video"), F.min("start_sec").alias("start_sec"), F.min("end_sec").alias("end_sec"), F.max("face_height_px").alias("face_height_px"), F.min(text.clean_key("reporter")).alias("reporter"), F.max("duration_sec").alias("duration_sec"))
-
-
 def queue_selection(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "speaker_table").select(F.col("speaker_id").alias("reporter"), F.col("split").alias("channel"), F.lit("2").alias("pipeline"), F.xxhash64("speaker_id").alias("_h"), F.lit("").alias("completed"), text.clean_key("speaker_id").alias("row_pos"))
     return queue.select_rows(s, pipelines=[2], exclude=["spk_0000001"], limit=50).select("reporter", "row_pos")
@@ -397,10 +346,12 @@ def committed_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def journal_replay(spark: SparkSession, d: str) -> DataFrame:
-    """Verified word clips replaced by their halves, all-wrong ones by nothing."""
+    """Verified word clips replaced by their halves, all-wrong ones by nothing; the journal's earlier lines said otherwise."""
     v = table(spark, d, "verified").where("clip_id IS NOT NULL").groupBy("clip_id").agg(F.max("verified").alias("ok"))
     new = F.when(F.col("ok") == 1, F.array(F.concat("clip_id", F.lit("_a")), F.concat("clip_id", F.lit("_b")))).otherwise(F.array().cast("array<string>"))
-    j = v.select(F.col("clip_id").alias("old"), new.alias("new"), F.lit(1).alias("ordinal"))
+    late = v.select(F.col("clip_id").alias("old"), new.alias("new"), F.lit(7).alias("ordinal"))
+    early = v.select(F.col("clip_id").alias("old"), F.array(F.concat("clip_id", F.lit("_x"))).alias("new"), F.lit(3).alias("ordinal"))
+    j = late.unionByName(early)
     return queue.replay_journal(_clips(spark, d).select("clip_id"), j, "clip_id")
 
 
@@ -437,7 +388,8 @@ def corrected_truth(spark: SparkSession, d: str) -> DataFrame:
 
 
 def release_words(spark: SparkSession, d: str) -> DataFrame:
-    return release.release_words(table(spark, d, "word_clips"), table(spark, d, "verified"))
+    labels = vocab.labelled(_words(spark, d), {"surface": "surface", "lemma": "lemma_cls"}, _vocab(spark, d))
+    return release.release_words(labels, table(spark, d, "verified"))
 
 
 # --- statistics -------------------------------------------------------------------------------------
@@ -573,16 +525,15 @@ def json_props(spark: SparkSession, d: str) -> DataFrame:
 
 def box_shifts(spark: SparkSession, d: str) -> DataFrame:
     """Shift of a word's mouth box against the next one of its source clip, boxes made from the manifest's columns."""
-    w = table(spark, d, "word_clips").where("mouth_width_px IS NOT NULL AND face_height_px IS NOT NULL AND clip_id IS NOT NULL").groupBy("clip_id").agg(F.max("mean_yaw").alias("x"), F.max("mean_pitch").alias("y"), F.max("mouth_width_px").alias("w"), F.max("face_height_px").cast("double").alias("h"))
-    box = F.struct("x", "y", "w", "h")
-    other = F.struct((F.col("x") + 1).alias("x"), (F.col("y") - 1).alias("y"), "w", "h")
-    return w.select("clip_id", F.round(geometry.centre_shift(box, other, F.lit(1.0), F.lit(1.0)), 6).alias("shift"), F.round(geometry.yaw_ratio(F.lit(0.0), F.col("x"), F.col("w")), 6).alias("yaw"))
+    w = table(spark, d, "word_clips").where("mouth_width_px IS NOT NULL AND face_height_px IS NOT NULL AND clip_id IS NOT NULL").groupBy("clip_id").agg(F.max("mean_yaw").alias("x"), F.max("mean_pitch").alias("y"), F.max("mouth_width_px").alias("w"), F.max("face_height_px").cast("double").alias("h"), F.max("source_clip").alias("source_clip"))
+    w = w.withColumn("box", F.struct("x", "y", "w", "h")).withColumn("other", seq.after("box", ["source_clip"], ["clip_id"]))
+    return w.select("clip_id", F.round(geometry.centre_shift(F.col("box"), F.col("other"), F.lit(2.0), F.lit(3.0)), 6).alias("shift"), F.round(geometry.yaw_ratio(F.lit(0.0), F.col("x"), F.col("w")), 6).alias("yaw"))
 
 
 def suffix_join(spark: SparkSession, d: str) -> DataFrame:
-    s = spotting.spans(_sentences(spark, d)).withColumn("confidence", F.lit(None).cast("double")).withColumn("manual_review", F.lit(0))
+    s = spotting.spans(_sentences(spark, d)).withColumn("confidence", F.when(F.col("pos") % 4 != 3, F.lit(0.6) + F.col("pos") % 5 / 20)).withColumn("manual_review", F.coalesce(items.manual_review("confidence"), F.lit(0)))
     j = items.join_suffixes(s, ["clip_id"], "pos")
-    return items.number_words(j, "clip_id", ["pos"]).select("clip_id", "pos", "surface_form", "lemma", "start_sec", "end_sec", "word_index")
+    return items.number_words(j, "clip_id", ["pos"]).select("clip_id", "pos", "surface_form", "lemma", "start_sec", "end_sec", F.round("confidence", 4).alias("confidence"), "manual_review", "word_index")
 
 
 def word_gates(spark: SparkSession, d: str) -> DataFrame:
@@ -644,6 +595,7 @@ _NAMES = (
 def queries() -> dict:
     return {
         **{f.__name__: f for f in _NAMES},
+        **extra.queries(),
         "p7_found": hotkeys.p7_found,
         "p7_speakers": hotkeys.p7_speakers,
         "p7_reporters": hotkeys.p7_reporters,

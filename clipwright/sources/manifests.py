@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,6 +10,12 @@ from ..functions.text import turkish_lower
 from ..schemas import EXPORT, TRANSCRIPT, staged
 
 
+RECORD = "\u001e"
+# Fragments a download leaves, and the containers of a whole video in order of preference.
+FRAGMENT = r"\.f[0-9]+\.[^.]+$|\.part$"
+VIDEO_EXTENSIONS = ["mp4", "mkv", "webm", "mov"]
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p))
@@ -39,12 +45,19 @@ def read_manifest(spark: SparkSession, path: str, fields: dict[str, str], key: s
 
     Trailing NULs are cut, and so is a last line without its line end (together one bad row); rows
     without a key, with a NUL in it, or with an empty fps are bad; over-long rows are skipped uncounted.
+    Line breaks inside quotes belong to their field. A file whose header is not complete yet is an empty
+    table with one bad row. Such a file is small, written by one process, and is read as one row.
     """
     text = spark.read.text(path, wholetext=True).select(F.col("value").alias("raw"))
     body = F.regexp_replace("raw", "\u0000+$", "")
     whole = F.regexp_extract(body, r"(?s)^(.*\n)", 1)
-    lines = text.select((F.length(whole) != F.length("raw")).cast("int").alias("cut"), F.posexplode(F.split(F.regexp_replace(whole, r"\r?\n$", ""), r"\r?\n")).alias("pos", "line"))
-    header = [c.lstrip("﻿") for c in (text.select(F.regexp_extract("raw", r"^([^\r\n]*)", 1)).first() or [""])[0].split(",")]
+    # Between quotes line ends become record marks; every second piece of a split at the quotes is inside them.
+    pieces = F.transform(F.split(F.regexp_replace(whole, r"\r?\n$", ""), '"', -1), lambda x, i: F.when(i % 2 == 0, F.regexp_replace(x, r"\r?\n", RECORD)).otherwise(x))
+    lines = text.select((F.length(whole) != F.length("raw")).cast("int").alias("cut"), F.posexplode(F.split(F.array_join(pieces, '"'), RECORD)).alias("pos", "line"))
+    head = (text.select(F.regexp_extract("raw", r"^([^\r\n\u0000]*)\r?\n", 1)).first() or [""])[0]
+    if not head:
+        return spark.createDataFrame([], staged(fields)).withColumn("row_pos", F.lit(0).cast("bigint")), text.agg(F.count_if(F.length("raw") > 0).alias("n_bad"))
+    header = [c.lstrip("﻿").strip('"') for c in head.split(",")]
     if lost := [f for f in fields if f not in header]:
         raise ValueError(f"missing columns: {lost}")
     schema = T.StructType([T.StructField(h, T.StringType()) for h in header] + [T.StructField("_corrupt", T.StringType())])
@@ -112,10 +125,10 @@ def read_listing(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
 
 def preferred_files(listing: DataFrame, stem: str, extensions: list[str]) -> DataFrame:
-    """One file per stem: by extension in the given order, then the newest."""
+    """One file per stem, download fragments left out: by extension in the given order, then the newest."""
     ext = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
     place = F.array_position(F.array(*map(F.lit, extensions)), ext)
-    return listing.withColumn("_p", place).where("_p > 0").groupBy(stem).agg(F.min_by("path", F.struct("_p", -F.unix_micros("modified"), "path")).alias("path"))
+    return listing.withColumn("_p", place).where((F.col("_p") > 0) & ~F.col("path").rlike(FRAGMENT)).groupBy(stem).agg(F.min_by("path", F.struct("_p", -F.unix_micros("modified"), "path")).alias("path"))
 
 
 def missing_files(referenced: DataFrame, listing: DataFrame, path: str) -> DataFrame:
@@ -129,8 +142,10 @@ def class_distribution(spark: SparkSession, path: str, label: str) -> DataFrame:
 
 
 def ranked_classes(counts: DataFrame, label: str) -> DataFrame:
-    """Add ``rank`` by count, ties by class."""
-    return counts.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("count"), label)))
+    """Add ``rank`` by count, ties by class, from a range partition."""
+    from ..operators.hotkeys import ranked
+
+    return ranked(counts.withColumn("_all", F.lit(0)), ["_all"], [F.desc("count"), F.col(label).asc()], "rank").drop("_all")
 
 
 def read_tensors(spark: SparkSession, path: str, fields: tuple[str, ...] = ("frames",), glob: str = "*.npz") -> DataFrame:

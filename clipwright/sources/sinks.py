@@ -14,6 +14,17 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def _replace(spark: SparkSession, source, target) -> None:
+    """Rename over what is there in one step: a reader sees the old file or the new one, and a crash loses neither."""
+    jvm = spark.sparkContext._jvm
+    hadoop = jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    how = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    how[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    whole = target.getFileSystem(conf).makeQualified(target)
+    hadoop.FileContext.getFileContext(whole.toUri(), conf).rename(source.getFileSystem(conf).makeQualified(source), whole, how)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small text file whole: to a temporary name, then renamed."""
     jvm = spark.sparkContext._jvm
@@ -22,8 +33,7 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     out = fs.create(tmp, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    fs.delete(p, False)
-    fs.rename(tmp, p)
+    _replace(spark, tmp, p)
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
@@ -69,8 +79,7 @@ def export_csv(df: DataFrame, path: str, order: list[str] | None = None) -> None
     t, fs = _fs(spark, tmp)
     part = next(f.getPath() for f in fs.listStatus(t) if f.getPath().getName().startswith("part-"))
     p, _ = _fs(spark, path)
-    fs.delete(p, False)
-    fs.rename(part, p)
+    _replace(spark, part, p)
     fs.delete(t, True)
 
 
@@ -115,3 +124,8 @@ class Report:
 
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.rows, "stage string, metric string, value string")
+
+
+def append_journal(rows: DataFrame, path: str) -> None:
+    """Append (old, new) lines to a JSON-lines journal that :func:`clipwright.sources.manifests.read_journal` reads."""
+    rows.select("old", F.col("new").cast("array<string>").alias("new")).write.mode("append").json(path)
