@@ -9,15 +9,15 @@ from pyspark.sql import functions as F
 def flatten_exports(exports: DataFrame, stem: str = "stem") -> DataFrame:
     """One row per answer of nested exports (columns ``stem``, ``data``, ``annotations``, and ``ordinal`` for file order).
 
-    Cancelled answers and answers without a verdict are skipped; annotators are scoped by file.
+    Cancelled answers and answers without a verdict are skipped; annotators are scoped by file, and one without a name is an empty one.
     """
     a = exports.select(stem, "ordinal", "data", F.posexplode("annotations").alias("n", "a")).where(~F.coalesce("a.was_cancelled", F.lit(False)))
     of = lambda name: F.get(F.filter("a.result", lambda r: r["from_name"] == name), F.lit(0))
-    who = F.coalesce(F.get_json_object("a.completed_by", "$.email"), F.get_json_object("a.completed_by", "$.id"), F.col("a.completed_by"))
+    who = F.coalesce(F.get_json_object("a.completed_by", "$.email"), F.get_json_object("a.completed_by", "$.id"), F.col("a.completed_by"), F.lit(""))
     rows = a.select(
         F.col("data.kind").alias("kind"), F.col("data.clip_id").alias("clip_id"), F.col("data.split").alias("split"), F.col("data.speaker_id").alias("speaker_id"),
         F.col("data.auto_start_sec").alias("auto_start_sec"), F.col("data.auto_end_sec").alias("auto_end_sec"), F.concat_ws(":", stem, who).alias("annotator"),
-        F.get(of("verdict")["value"]["choices"], F.lit(0)).alias("verdict"), F.coalesce(F.trim(F.array_join(of("label_fix")["value"]["text"], " ")), F.lit("")).alias("label_fix"),
+        F.get(of("verdict")["value"]["choices"], F.lit(0)).alias("verdict"), F.coalesce(F.regexp_replace(F.array_join(of("label_fix")["value"]["text"], " "), r"^\p{Zs}+|\p{Zs}+$", ""), F.lit("")).alias("label_fix"),
         of("occ")["value"]["start"].alias("occ_start"), of("occ")["value"]["end"].alias("occ_end"), "ordinal", "n",
     )
     return rows.where(F.coalesce("verdict", F.lit("")) != "")

@@ -86,7 +86,15 @@ def read_map(spark: SparkSession, path: str, value: str = "int") -> DataFrame:
 
 
 def read_exports(spark: SparkSession, path: str) -> DataFrame:
-    """Annotation exports (JSON arrays of tasks) with the file's stem and the task order; a file without annotations is refused."""
+    """Annotation exports (JSON arrays of tasks) with the file's stem and the task order; a file without annotations is refused.
+
+    So is one that is not one array, such as JSON lines: the parser reads the first value of a file and leaves the rest unsaid.
+    """
+    content = F.regexp_replace("value", r"^\uFEFF?\s+|^\uFEFF", "")
+    one = F.coalesce(F.json_array_length(F.concat(F.lit("["), content, F.lit("]"))) == 1, F.lit(False)) & F.startswith(content, F.lit("["))
+    torn = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file")).where((content != "") & ~one).select("file").collect()
+    if torn:
+        raise ValueError(f"not one array of tasks: {[r[0] for r in torn]}")
     raw = spark.read.schema(EXPORT).json(path, multiLine=True).select("*", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.[^./]+$", 1).alias("stem")).withColumn("ordinal", F.monotonically_increasing_id())
     refused = raw.groupBy("stem").agg(F.min_by("annotations", "ordinal").alias("a")).where("a IS NULL").select("stem").collect()
     if refused:

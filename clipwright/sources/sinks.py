@@ -129,3 +129,14 @@ class Report:
 def append_journal(rows: DataFrame, path: str) -> None:
     """Append (old, new) lines to a JSON-lines journal that :func:`clipwright.sources.manifests.read_journal` reads."""
     rows.select("old", F.col("new").cast("array<string>").alias("new")).write.mode("append").json(path)
+
+
+def write_exports(tasks: DataFrame, root: str, by: str) -> None:
+    """Tasks as annotation exports that :func:`clipwright.sources.manifests.read_exports` reads, a column ``by`` telling them apart.
+
+    Each file is one JSON array of tasks of one export, in their order. A long export takes several files of at most
+    65,536 tasks, so no task has to hold a whole one.
+    """
+    task = F.struct(F.monotonically_increasing_id().alias("id"), F.to_json(F.struct(*(c for c in tasks.columns if c != by))).alias("json"))
+    listed = tasks.select(F.col(by).alias("by"), task.alias("task")).groupBy("by", F.shiftright("task.id", 16)).agg(F.transform(F.array_sort(F.collect_list("task")), lambda t: t["json"]).alias("tasks"))
+    listed.select(F.concat(F.lit("["), F.array_join("tasks", ",\n"), F.lit("]"))).write.option("maxRecordsPerFile", 1).text(root)
