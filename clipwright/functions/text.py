@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -75,7 +76,6 @@ def trimmed(c: Column | str) -> Column:
 
 def nfc(c: Column | str) -> Column:
     """Canonical composition. Spark has no function for it; only values with a character beyond ASCII reach Python, in Arrow batches."""
-    import pandas as pd
 
     @F.pandas_udf("string")
     def composed(values: pd.Series) -> pd.Series:
@@ -88,8 +88,9 @@ def nfc(c: Column | str) -> Column:
 
 def normalize_text(c: Column | str) -> Column:
     """Composed, and without white space or separators at both ends; null is empty."""
-    edge = r"[\s\p{Z}\x1C-\x1F\x85]+"
-    return F.coalesce(F.regexp_replace(nfc(c), f"^{edge}|{edge}$", ""), F.lit(""))
+    edge = r"[\s\p{Z}\x1C-\x1F\x85]"
+    # A run is tried from its first character only; from each of them, a long run inside a text costs its square.
+    return F.coalesce(F.regexp_replace(nfc(c), f"^{edge}++|(?<!{edge}){edge}++$", ""), F.lit(""))
 
 
 def clean_key(c: Column | str, *unknown: str) -> Column:
