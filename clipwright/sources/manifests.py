@@ -31,7 +31,7 @@ def read_csv(spark: SparkSession, path: str, fields: dict[str, str], missing_ok:
             raise FileNotFoundError(path)
         empty = spark.createDataFrame([], staged(fields))
         return empty.withColumn(ordinal, F.lit(0).cast("bigint")) if ordinal else empty
-    opts = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "encoding": "UTF-8", "nullValue": "", "emptyValue": ""}
+    opts = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "encoding": "UTF-8", "nullValue": "", "emptyValue": "", "charToEscapeQuoteEscaping": '"'}  # unset, a NUL after a quote is lost
     have = spark.read.options(**opts).csv(path)
     names = {c.lstrip("﻿").strip(): c for c in have.columns}
     if lost := [f for f in fields if f not in names]:

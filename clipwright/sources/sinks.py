@@ -71,11 +71,12 @@ def with_completions(queue: DataFrame, completions: DataFrame, key: str) -> Data
 
 
 def export_csv(df: DataFrame, path: str, order: list[str] | None = None) -> None:
-    """One CSV file for people: for final, small tables only; everything inside stays parquet."""
+    """One CSV file for people: for final, small tables only; everything inside stays parquet. White space at the ends of a field is kept."""
     spark = df.sparkSession
     tmp = f"{path}.{uuid.uuid4().hex}.tmp"
     out = df.orderBy(*order) if order else df
-    out.coalesce(1).write.option("header", "true").option("escape", '"').option("emptyValue", "").csv(tmp)
+    opts = {"header": "true", "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "maxRecordsPerFile": "0"}
+    out.coalesce(1).write.options(**opts).csv(tmp)
     t, fs = _fs(spark, tmp)
     part = next(f.getPath() for f in fs.listStatus(t) if f.getPath().getName().startswith("part-"))
     p, _ = _fs(spark, path)

@@ -1,6 +1,7 @@
 """Queries against their SQL on odd inputs."""
 
 import datetime
+import itertools
 import json
 import time
 
@@ -8,7 +9,7 @@ import pytest
 
 from clipwright.operators import agreement
 from clipwright.plans import extra
-from clipwright.sources import manifests
+from clipwright.sources import manifests, sinks
 from tests.conftest import SF, rows
 from tests.test_queries import compare
 
@@ -67,3 +68,23 @@ def test_normalized_text_of_few_texts(spark, tmp_path, given, want):
     began = time.perf_counter()
     assert rows(extra.normalized_text(spark, sf)) == want
     assert time.perf_counter() - began < 60
+
+
+def test_csv_keeps_every_character(spark, tmp_path):
+    signs = [" ", "\n", "\r", "\r\n", "\t", '"', ",", "\\", "#", "\x00", "\u00a0", "\ufeff", "\u0131", "a", ""]
+    odd = ["".join(p) for p in itertools.product(signs, repeat=3)]
+    given = [{"clip_id": f"{i} ", "text": t, "word_spans": None if i % 7 == 0 else odd[-1 - i], "n_words": None if i % 5 == 0 else -i} for i, t in enumerate(odd)]
+    given += [{"clip_id": "", "text": ""}, {"clip_id": "", "text": " "}, {"clip_id": None, "text": "a"}, {"clip_id": "a", "text": None}, {"clip_id": "long", "text": '" ,\n' * 100_000, "word_spans": "[ "}]
+    sf = odd_table(spark, tmp_path, "sentence_clips", given)
+    compare(spark, extra.csv_roundtrip, extra.oracle_sql()["csv_roundtrip"], sf)
+
+
+def test_csv_of_no_rows_and_of_a_session_that_splits_files(spark, tmp_path):
+    sf = odd_table(spark, tmp_path, "sentence_clips", [])
+    assert extra.csv_roundtrip(spark, sf).count() == 0
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "2")
+    try:
+        sinks.export_csv(spark.range(9), str(tmp_path / "n.csv"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert manifests.read_csv(spark, str(tmp_path / "n.csv"), {"id": "string"}).count() == 9
