@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.text import turkish_lower
 from ..schemas import EXPORT, TRANSCRIPT, staged
+from ..session import _hadoop_path
+from . import records
 
-
-RECORD = "\u001e"
 # Fragments a download leaves, and the containers of a whole video in order of preference.
 FRAGMENT = r"\.f[0-9]+\.[^.]+$|\.part$"
 VIDEO_EXTENSIONS = ["mp4", "mkv", "webm", "mov"]
@@ -43,31 +42,32 @@ def read_csv(spark: SparkSession, path: str, fields: dict[str, str], missing_ok:
 def read_manifest(spark: SparkSession, path: str, fields: dict[str, str], key: str = "clip_id") -> tuple[DataFrame, DataFrame]:
     """A manifest that may be in the middle of being written: the good rows, and (n_bad,).
 
-    Trailing NULs are cut, and so is a last line without its line end (together one bad row); rows
-    without a key, with a NUL in it, or with an empty fps are bad; over-long rows are skipped uncounted.
-    Line breaks inside quotes belong to their field. A file whose header is not complete yet is an empty
-    table with one bad row. Such a file is small, written by one process, and is read as one row.
+    Trailing NULs are cut, and so is a last row without its line end or closing quote (together one bad row); rows
+    without a key, with a NUL in it, or with an empty fps are bad; short rows are filled with '', over-long rows and
+    blank lines are skipped uncounted. Line breaks inside quotes belong to their field. A file whose header is not
+    complete yet is an empty table with one bad row. The file is read in splits, see :mod:`clipwright.sources.records`.
     """
-    text = spark.read.text(path, wholetext=True).select(F.col("value").alias("raw"))
-    body = F.regexp_replace("raw", "\u0000+$", "")
-    whole = F.regexp_extract(body, r"(?s)^(.*\n)", 1)
-    # Between quotes line ends become record marks; every second piece of a split at the quotes is inside them.
-    pieces = F.transform(F.split(F.regexp_replace(whole, r"\r?\n$", ""), '"', -1), lambda x, i: F.when(i % 2 == 0, F.regexp_replace(x, r"\r?\n", RECORD)).otherwise(x))
-    lines = text.select((F.length(whole) != F.length("raw")).cast("int").alias("cut"), F.posexplode(F.split(F.array_join(pieces, '"'), RECORD)).alias("pos", "line"))
-    head = (text.select(F.regexp_extract("raw", r"^([^\r\n\u0000]*)\r?\n", 1)).first() or [""])[0]
-    if not head:
-        return spark.createDataFrame([], staged(fields)).withColumn("row_pos", F.lit(0).cast("bigint")), text.agg(F.count_if(F.length("raw") > 0).alias("n_bad"))
-    header = [c.lstrip("﻿").strip('"') for c in head.split(",")]
+    lines = records.read_lines(spark, path)
+    p, fs = _hadoop_path(spark, path)
+    size, ended = fs.getFileStatus(p).getLen(), False
+    if size:
+        stream = fs.open(p)
+        try:
+            stream.seek(size - 1)
+            ended = stream.read() == ord("\n")
+        finally:
+            stream.close()
+    head = lines.where("block = 0").select(F.regexp_extract(F.col("value").cast("string"), r"^([^\r\u0000]*)\r?\z", 1)).first()
+    starts, total, inside = records.survey(lines)
+    total -= not ended and not inside  # the last line ends no row
+    if total < 1 or not head or not head[0]:
+        return spark.createDataFrame([], staged(fields)).withColumn("row_pos", F.lit(0).cast("bigint")), spark.createDataFrame([(int(size > 0),)], "n_bad bigint")
+    header = [c.lstrip("﻿").strip('"') for c in head[0].split(",")]
     if lost := [f for f in fields if f not in header]:
         raise ValueError(f"missing columns: {lost}")
-    schema = T.StructType([T.StructField(h, T.StringType()) for h in header] + [T.StructField("_corrupt", T.StringType())])
-    parsed = lines.where("pos > 0").select("cut", "pos", F.from_csv("line", schema.simpleString()[7:-1].replace(":", " "), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "escape": '"'}).alias("r"))
-    rows = parsed.select("cut", "pos", *(F.coalesce(F.col(f"r.`{f}`"), F.lit("")).alias(f) for f in fields), F.col("r._corrupt").alias("_corrupt"))
-    empty_fps = (F.col("fps") == "") if "fps" in fields else F.lit(False)
-    bad = (F.col(key) == "") | F.col(key).contains("\u0000") | empty_fps
-    kept = rows.where(~bad & F.col("_corrupt").isNull()).select(*fields, F.col("pos").cast("bigint").alias("row_pos"))
-    n_bad = rows.where(F.col("_corrupt").isNull()).agg(F.count_if(bad).alias("b")).crossJoin(lines.agg(F.coalesce(F.max("cut"), F.lit(0)).alias("c"))).select((F.col("b") + F.col("c")).alias("n_bad"))
-    return kept, n_bad
+    rates = [f for f in fields if f == "fps"]
+    rows = records.parse(lines, starts, total, header, list(dict.fromkeys([*fields, key])), lambda r: not r[key] or b"\0" in r[key] or not all(r[f] for f in rates))
+    return rows.where("NOT bad").select(*fields, "row_pos"), rows.agg((F.count_if("bad") + F.lit(int(inside or not ended))).alias("n_bad"))
 
 
 def read_transcripts(spark: SparkSession, path: str) -> DataFrame:

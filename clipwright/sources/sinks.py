@@ -70,13 +70,15 @@ def with_completions(queue: DataFrame, completions: DataFrame, key: str) -> Data
     return queue.join(done, key, "left").withColumn("completed", F.when(F.coalesce("_d", F.lit(False)) | (F.col("completed") == "1"), "1").otherwise("")).drop("_d")
 
 
+_CSV = {"escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "maxRecordsPerFile": "0"}
+
+
 def export_csv(df: DataFrame, path: str, order: list[str] | None = None) -> None:
     """One CSV file for people: for final, small tables only; everything inside stays parquet. White space at the ends of a field is kept."""
     spark = df.sparkSession
     tmp = f"{path}.{uuid.uuid4().hex}.tmp"
     out = df.orderBy(*order) if order else df
-    opts = {"header": "true", "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "maxRecordsPerFile": "0"}
-    out.coalesce(1).write.options(**opts).csv(tmp)
+    out.coalesce(1).write.options(header="true", **_CSV).csv(tmp)
     t, fs = _fs(spark, tmp)
     part = next(f.getPath() for f in fs.listStatus(t) if f.getPath().getName().startswith("part-"))
     p, _ = _fs(spark, path)
@@ -84,6 +86,36 @@ def export_csv(df: DataFrame, path: str, order: list[str] | None = None) -> None
     fs.delete(t, True)
 
 
+def stream_csv(df: DataFrame, path: str, tail: str = "") -> None:
+    """One CSV file of any size as of :func:`export_csv`, with some text after it.
+
+    All tasks write a part; the driver streams them into the file in their order, holding none, and deletes each once it is copied.
+    """
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    tmp, parts = f"{path}.{uuid.uuid4().hex}.tmp", f"{path}.{uuid.uuid4().hex}.parts"
+    df.write.options(header="false", **_CSV).csv(parts)
+    t, fs = _fs(spark, tmp)
+    folder, _ = _fs(spark, parts)
+    files = [f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")]
+    head = ",".join('"' + c.replace('"', '""') + '"' if set(c) & set(',"\r\n') else c for c in df.columns)
+    out = fs.create(t, True)
+    try:
+        out.write(bytearray(f"{head}\n".encode("utf-8")))
+        for part in sorted(files, key=lambda f: int(f.getName().split("-")[1])):
+            given = fs.open(part)
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(given, out, 1 << 20, False)
+            finally:
+                given.close()
+            fs.delete(part, False)
+        out.write(bytearray(tail.encode("utf-8")))
+    finally:
+        out.close()
+    fs.delete(folder, True)
+    _replace(spark, t, _fs(spark, path)[0])
+
+
 def commit_tables(tables: dict[str, DataFrame], root: str, marker: str, batch_id: int | str) -> None:
     """Write a batch's tables, the marker last. A batch rewrites its own folders, so a repeated one changes nothing."""
     for name in [t for t in tables if t != marker] + [marker]:
